@@ -17,7 +17,10 @@ CYCLE_START = "2024-01-20 00:00:00"
 CYCLE_END = "2024-01-21 00:00:00"
 RANK_AS_OF = "2024-01-19 00:00:00"
 TARGET_CUTOFF = "2000-01-01 00:00:00"
+COMPLETE_AS_OF = "2024-01-20 00:45:30"
+FAILED_ERROR = "load failed: can't reach source"
 CATALOG = "main"
+SLOTS = {"JDBC": 5, "WriteNOS": 45}  # free worker slots per pool in a claim cycle
 
 
 class Fixtures:
@@ -168,3 +171,20 @@ class Fixtures:
     def load_target(self) -> DataFrame:
         o = self.table("orders")
         return o.where(o.o_orderdate < ntz(TARGET_CUTOFF))
+
+    # -- completions of the running loads --------------------------------------
+    @property
+    def completions(self) -> DataFrame:
+        """Finish records for every running queue row (even priority -> FAILED)."""
+        q = self.queue
+        q = q.where(q.status == "R")
+        failed = q.priority % 2 == 0
+        finish = ntz(COMPLETE_AS_OF)
+        return q.select(
+            "source_table", "event_time",
+            F.when(failed, F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("status"),
+            finish.alias("finish_time"),
+            F.round(F.timestamp_diff("SECOND", q.trigger_time, finish) / 60.0, 2).alias("duration_min"),
+            (q.priority * 100).cast("bigint").alias("num_records"),
+            F.when(failed, F.lit(FAILED_ERROR)).otherwise(F.lit("")).alias("error"),
+        )

@@ -8,6 +8,8 @@ derived control tables are CTEs.
 
 from __future__ import annotations
 
+from tidemark.plans.fixtures import RANK_AS_OF, SLOTS
+
 # Derived views (FIXTURES.md section 3), DuckDB dialect, in dependency order.
 VIEWS: dict[str, str] = {
     "feed": """
@@ -76,7 +78,38 @@ SELECT o_orderkey, o_custkey, o_orderstatus,
 SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'""",
 }
 
+VIEWS["records"] = """
+SELECT c.source_table,
+  CASE WHEN len(string_split(coalesce(nullif(a.target_table, ''), c.source_table), '.')) = 3
+       THEN coalesce(nullif(a.target_table, ''), c.source_table)
+       ELSE 'main.' || coalesce(nullif(a.target_table, ''), c.source_table) END AS target_table,
+  '' AS where_clause, coalesce(a.primary_key, '') AS primary_key, c.first_time AS event_time,
+  CAST(NULL AS TIMESTAMP) AS trigger_time, a.strategy, true AS lock_rows, 'Q' AS status, a.priority,
+  CASE WHEN c.n > 1 THEN c.last_time END AS event_time_latest
+FROM (SELECT source_table, min(event_time) AS first_time, max(event_time) AS last_time, count(*) AS n
+      FROM incoming GROUP BY source_table) c
+JOIN attrs a ON a.source_table = c.source_table
+WHERE a.disabled = false"""
+VIEWS["upserted"] = """
+SELECT q.source_table, q.target_table, q.where_clause, q.primary_key, q.event_time, q.trigger_time, q.strategy,
+  q.lock_rows, q.status,
+  CASE WHEN r.source_table IS NOT NULL THEN r.priority ELSE q.priority END AS priority,
+  CASE WHEN r.source_table IS NOT NULL THEN coalesce(r.event_time_latest, r.event_time)
+       ELSE q.event_time_latest END AS event_time_latest
+FROM queue q LEFT JOIN records r ON q.source_table = r.source_table AND q.status = 'Q'
+UNION ALL
+SELECT r.* FROM records r
+WHERE NOT EXISTS (SELECT 1 FROM queue q WHERE q.source_table = r.source_table AND q.status = 'Q')"""
+VIEWS["completions"] = """
+SELECT source_table, event_time, CASE WHEN priority % 2 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+  TIMESTAMP '2024-01-20 00:45:30' AS finish_time,
+  round(date_diff('second', trigger_time, TIMESTAMP '2024-01-20 00:45:30') / 60.0, 2) AS duration_min,
+  CAST(priority * 100 AS BIGINT) AS num_records,
+  CASE WHEN priority % 2 = 0 THEN 'load failed: can''t reach source' ELSE '' END AS error
+FROM queue WHERE status = 'R'"""
+
 _DEPS = {
+    "records": ["incoming", "attrs"], "upserted": ["queue", "records"], "completions": ["queue"],
     "feed": [], "attrs": [], "attrs_raw": [], "queue": ["feed", "attrs"],
     "history": ["feed", "queue"], "incoming": ["feed"], "load_source": [], "load_target": [],
 }
@@ -130,3 +163,20 @@ FROM (
   ) s0
 ) sub
 WHERE status = 'Q' AND priority > 0"""
+
+
+def _claims_sql(jdbc: int, staged: int) -> str:
+    return f"""
+SELECT source_table, target_table, where_clause, primary_key, event_time, strategy, lock_rows, priority, rank,
+  CASE WHEN strategy = 'WriteNOS' THEN 'WriteNOS' WHEN n <= {jdbc} THEN 'JDBC' ELSE 'WriteNOS' END AS worker
+FROM (SELECT r.*, (SELECT count(*) FROM ranked r2 WHERE r2.strategy = r.strategy AND r2.rank <= r.rank) AS n
+      FROM ranked r WHERE strategy IN ('JDBC', 'WriteNOS')) c
+WHERE (strategy = 'WriteNOS' AND n <= {staged})
+   OR (strategy = 'JDBC' AND n <= {jdbc} + {staged}
+       - least({staged}, (SELECT count(*) FROM ranked WHERE strategy = 'WriteNOS')))"""
+
+
+VIEWS["ranked"] = ranked_cte(RANK_AS_OF)
+VIEWS["claims"] = _claims_sql(SLOTS["JDBC"], SLOTS["WriteNOS"])
+_DEPS["ranked"] = ["queue", "attrs"]
+_DEPS["claims"] = ["ranked"]

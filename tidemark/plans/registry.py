@@ -1,22 +1,23 @@
-"""Registered queries: ``name -> (spark, sf_dir) -> DataFrame`` and their oracles."""
+"""Registered queries: ``name -> (spark, sf_dir) -> DataFrame`` and their oracles.
+
+The query modules (``q_*.py``) register themselves on import; ``load_all``
+imports every one of them.
+"""
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import ranking
-from tidemark.plans import oracle as O
-from tidemark.plans.fixtures import RANK_AS_OF, Fixtures
-
 Query = Callable[[SparkSession, str], DataFrame]
 
-SLOTS = {"JDBC": 5, "WriteNOS": 45}
-
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 
+MODULES = ("q_ranking", "q_feed", "q_queue", "q_load", "q_report", "q_stream")
+
 
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
@@ -27,61 +28,16 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def load_all() -> None:
+    for m in MODULES:
+        importlib.import_module(f"tidemark.plans.{m}")
+
+
 def queries() -> dict[str, Query]:
+    load_all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    load_all()
     return dict(_ORACLES)
-
-
-# ---------------------------------------------------------------- ranking
-@register("priority_rank", O.with_views(f"SELECT * FROM ({O.ranked_cte(RANK_AS_OF)}) r", "queue", "attrs"))
-def q_priority_rank(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    return ranking.priority_rank(fx.queue, fx.attrs, RANK_AS_OF)
-
-
-@register("staleness_tiers", O.with_views(f"""
-SELECT {O.TIER_SQL} AS tier, count(*) AS rows
-FROM (SELECT q.event_time, d.min_staleness, d.max_staleness, {O.staleness_sql(RANK_AS_OF)} AS staleness_m
-      FROM queue q JOIN attrs d ON q.source_table = d.source_table WHERE q.status = 'Q') s
-GROUP BY 1""", "queue", "attrs"))
-def q_staleness_tiers(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    return ranking.staleness_tiers(fx.queue, fx.attrs, RANK_AS_OF)
-
-
-@register("fifo_rank", O.with_views("""
-SELECT source_table, target_table, where_clause, primary_key, event_time, strategy, lock_rows, 1 AS priority,
-  (SELECT count(*) FROM queue q2 WHERE q2.status = 'Q'
-     AND (q2.event_time < q.event_time OR (q2.event_time = q.event_time AND q2.source_table <= q.source_table))) AS rank
-FROM queue q WHERE status = 'Q'""", "queue"))
-def q_fifo_rank(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    return ranking.fifo_rank(fx.queue)
-
-
-@register("claim_next", O.with_views(f"""
-SELECT * FROM ranked WHERE rank IN (SELECT min(rank) FROM ranked WHERE rank >= 1 GROUP BY strategy)""",
-                                     "queue", "attrs", extra={"ranked": O.ranked_cte(RANK_AS_OF)}))
-def q_claim_next(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    return ranking.claim_next(ranking.priority_rank(fx.queue, fx.attrs, RANK_AS_OF))
-
-
-_CLAIMS_SQL = f"""
-SELECT source_table, target_table, where_clause, primary_key, event_time, strategy, lock_rows, priority, rank,
-  CASE WHEN strategy = 'WriteNOS' THEN 'WriteNOS' WHEN n <= {SLOTS['JDBC']} THEN 'JDBC' ELSE 'WriteNOS' END AS worker
-FROM (SELECT r.*, (SELECT count(*) FROM ranked r2 WHERE r2.strategy = r.strategy AND r2.rank <= r.rank) AS n
-      FROM ranked r WHERE strategy IN ('JDBC', 'WriteNOS')) c
-WHERE (strategy = 'WriteNOS' AND n <= {SLOTS['WriteNOS']})
-   OR (strategy = 'JDBC' AND n <= {SLOTS['JDBC']} + {SLOTS['WriteNOS']}
-       - least({SLOTS['WriteNOS']}, (SELECT count(*) FROM ranked WHERE strategy = 'WriteNOS')))"""
-
-
-@register("claim_slots", O.with_views(_CLAIMS_SQL, "queue", "attrs",
-                                      extra={"ranked": O.ranked_cte(RANK_AS_OF)}))
-def q_claim_slots(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    return ranking.claim_slots(ranking.priority_rank(fx.queue, fx.attrs, RANK_AS_OF), SLOTS)
