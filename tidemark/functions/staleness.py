@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeexpr import to_seconds
+from tidemark.functions.timeexpr import seconds_between
 
 # Slack thresholds (max_staleness - staleness, minutes) and their
 # weights, checked top to bottom with a strict ">"; below all of them the weight
@@ -26,7 +26,7 @@ def staleness_minutes(event_time: Column, as_of: Column) -> Column:
     Both ends are truncated to seconds first: the reference keeps whole seconds,
     and an untruncated difference can move the floor by a minute.
     """
-    secs = F.timestamp_diff("SECOND", to_seconds(event_time), to_seconds(as_of))
+    secs = seconds_between(event_time, as_of)
     return F.floor(secs / F.lit(60)).cast("bigint")
 
 

@@ -1,9 +1,11 @@
 """Event-time column expressions.
 
 Instants are ``timestamp_ntz`` values holding UTC wall time. Every helper here
-is independent of ``spark.sql.session.timeZone``: it uses ``convert_timezone``,
-``timestampdiff`` / ``timestampadd`` and casts of ``timestamp_ntz`` to text,
-none of which read the session zone.
+is independent of ``spark.sql.session.timeZone``. ``date_trunc``,
+``timestamp_diff`` and ``date_format`` silently turn a ``timestamp_ntz`` into a
+session-zone ``timestamp`` (an hour off around a DST change), so they are not
+used on instants; field extraction (``hour``, ``second`` ...), ``unix_date``,
+``timestamp_add``, ``convert_timezone`` and casts to text are zone-free.
 """
 
 from __future__ import annotations
@@ -30,14 +32,15 @@ def ntz(value: str | _dt.datetime | Column) -> Column:
     return F.expr(f"TIMESTAMP_NTZ'{value}'")
 
 
-def to_seconds(ts: Column) -> Column:
-    """Truncate an instant to whole seconds (the reference keeps seconds only)."""
-    return F.date_trunc("second", ts)
+def epoch_seconds(ts: Column) -> Column:
+    """Epoch seconds (bigint) of a UTC ``timestamp_ntz``; the fraction is dropped."""
+    days = F.unix_date(ts.cast("date")).cast("bigint")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
-def epoch_seconds(ts: Column) -> Column:
-    """Epoch seconds (bigint) of a UTC ``timestamp_ntz``; fractions are dropped."""
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH), ts)
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds from ``start`` to ``end``, both truncated to seconds first."""
+    return epoch_seconds(end) - epoch_seconds(start)
 
 
 def from_epoch(epoch: Column) -> Column:
@@ -59,9 +62,14 @@ def convert_zone(ts: Column, from_zone: str, to_zone: str) -> Column:
     return F.convert_timezone(F.lit(from_zone), F.lit(to_zone), ts)
 
 
+def to_seconds(ts: Column) -> Column:
+    """Truncate an instant to whole seconds (the reference keeps seconds only)."""
+    return from_epoch(epoch_seconds(ts))
+
+
 def format_text(ts: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text of a ``timestamp_ntz`` (seconds precision)."""
-    return F.date_trunc("second", ts).cast("string")
+    return to_seconds(ts).cast("string")
 
 
 def local_text(ts: Column, zone: str = DEFAULT_ZONE) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeexpr import report_time
+from tidemark.functions.timeexpr import report_time, seconds_between
 from tidemark.operators.loading import key_columns, predicate
 from tidemark.schemas import DEFAULT_ZONE
 
@@ -64,7 +64,7 @@ def count_reconcile(mode: str, payload: DataFrame, before: DataFrame, after: Dat
 
 def duration_minutes(start: Column, end: Column) -> Column:
     """round((end - start) / 60, 2) in minutes, from whole seconds."""
-    return F.round(F.timestamp_diff("SECOND", start, end) / F.lit(60.0), 2)
+    return F.round(seconds_between(start, end) / F.lit(60.0), 2)
 
 
 def load_report(history: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:

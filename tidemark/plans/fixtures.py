@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeexpr import ntz
+from tidemark.functions.timeexpr import ntz, seconds_between
 
 # The cycle boundaries used by every fixture and query.
 QUEUE_FROM = "2024-01-18 00:00:00"
@@ -184,7 +184,7 @@ class Fixtures:
             "source_table", "event_time",
             F.when(failed, F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("status"),
             finish.alias("finish_time"),
-            F.round(F.timestamp_diff("SECOND", q.trigger_time, finish) / 60.0, 2).alias("duration_min"),
+            F.round(seconds_between(q.trigger_time, finish) / 60.0, 2).alias("duration_min"),
             (q.priority * 100).cast("bigint").alias("num_records"),
             F.when(failed, F.lit(FAILED_ERROR)).otherwise(F.lit("")).alias("error"),
         )

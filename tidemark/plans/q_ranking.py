@@ -10,8 +10,11 @@ from tidemark.plans.fixtures import RANK_AS_OF, SLOTS, Fixtures
 from tidemark.plans.registry import register
 
 
-def claims(fx: Fixtures) -> DataFrame:
-    return ranking.claim_slots(ranking.priority_rank(fx.queue, fx.attrs, RANK_AS_OF), SLOTS)
+def claims(fx: Fixtures, materialize: bool = True) -> DataFrame:
+    """This cycle's claims. They are a decision applied to both queue and history, so
+    they are fixed once (reliable checkpoint; at most the slot total of rows)."""
+    c = ranking.claim_slots(ranking.priority_rank(fx.queue, fx.attrs, RANK_AS_OF), SLOTS)
+    return c.checkpoint(eager=True) if materialize else c
 
 
 @register("priority_rank", O.with_views("SELECT * FROM ranked", "ranked"))
@@ -48,4 +51,4 @@ def q_claim_next(spark, sf_dir):
 
 @register("claim_slots", O.with_views("SELECT * FROM claims", "claims"))
 def q_claim_slots(spark, sf_dir):
-    return claims(Fixtures(spark, sf_dir))
+    return claims(Fixtures(spark, sf_dir), materialize=False)
