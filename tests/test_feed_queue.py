@@ -110,6 +110,10 @@ def test_stream_batch_replay_is_idempotent(spark, tmp_path):
     body(feed(spark, [("S.N", T0 + dt.timedelta(hours=3))]), 1)
     latest = {r.source_table: r.event_time_latest for r in read_version(spark, root).collect()}
     assert latest == {"S.A": T0 + dt.timedelta(hours=1), "S.N": T0 + dt.timedelta(hours=3)}
+    body(feed(spark, [("S.A", T0 - dt.timedelta(hours=1)), ("S.Q", T0 + dt.timedelta(hours=4))]), 2)  # one late row
+    from tidemark.streaming.enqueue import read_metrics
+    m = {r.batch_id: (r.rows, r.late_rows) for r in read_metrics(spark, root).collect()}
+    assert m == {0: (2, 0), 1: (1, 0), 2: (2, 1)}
 
 
 def test_batch_upsert_validation_and_defaults(spark):

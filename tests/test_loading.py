@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from tidemark.operators import loading, planning, projection
 from tidemark.operators.projection import ColumnSpec
-from tidemark.operators.reconcile import count_reconcile, load_report
+from tidemark.operators.reconcile import content_reconcile, count_reconcile, load_report, table_checksum
+from tidemark.sinks import tables
 from tidemark.sources.jdbc import jdbc_options
 
 SCHEMA = "id bigint, k2 string, v double"
@@ -164,3 +165,25 @@ def test_extract_where_pushes_to_scan(spark, tmp_path):
     spark.range(100).select(F.col("id"), (F.col("id") % 7).alias("g")).write.parquet(p)
     plan = planning.extract_where(spark.read.parquet(p), "id >= 50")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id,50)]" in plan
+
+
+def test_content_reconcile(spark):
+    a = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], SCHEMA)
+    b = spark.createDataFrame([(2, "b", 2.0), (1, "a", 1.0)], SCHEMA)
+    c = spark.createDataFrame([(2, "b", 2.5), (1, "a", 1.0)], SCHEMA)
+    assert content_reconcile(a, b).first().ok
+    assert not content_reconcile(a, c).first().ok
+    assert table_checksum(a).first().rows == 2
+
+
+def test_sinks_strict_append_create_and_partitions(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], SCHEMA)
+    p = str(tmp_path / "t")
+    assert tables.create_if_absent(spark, p, df.schema) and not tables.create_if_absent(spark, p, df.schema)
+    tables.append(df, p, expect_schema=spark.read.parquet(p).schema)
+    with pytest.raises(ValueError, match="does not match"):
+        tables.append(df.select("id", "k2"), p, expect_schema=spark.read.parquet(p).schema)
+    q = str(tmp_path / "parts")
+    tables.publish(df, q, partition_by=["k2"])
+    tables.replace_partitions(spark.createDataFrame([(9, "b", 9.0)], SCHEMA), q, ["k2"])
+    assert rows(spark.read.parquet(q).select("id", "k2", "v")) == [(1, "a", 1.0), (9, "b", 9.0)]

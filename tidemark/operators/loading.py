@@ -59,20 +59,18 @@ def _any_null(keys: Sequence[str]) -> Column:
 def merge_pk(target: DataFrame, source: DataFrame, primary_key: str | Sequence[str]) -> DataFrame:
     """MERGE on a (composite) primary key: update every matched row, insert the rest.
 
-    Written as target-anti-payload plus payload. SQL ``=`` never matches a null
-    key, so null-key target rows are kept and null-key payload rows inserted;
-    they are split off before the join so they never pile up in one shuffle
-    partition. Only the key columns of the payload are shuffled for the anti
-    join. Duplicate payload keys are the caller's to reject (``duplicate_keys``).
+    Written as target-anti-payload-keys plus payload: one scan of the target,
+    and only the payload's key columns are shuffled (or broadcast when the
+    planner measures them small). SQL ``=`` never matches a null key, so
+    null-key target rows are kept and null-key payload rows inserted; null keys
+    are dropped from the key side, and a target partition crowded with null
+    keys is split by AQE's skew-join handling of the anti join's left side.
+    Duplicate payload keys are the caller's to reject (``duplicate_keys``).
     """
     keys = key_columns(primary_key)
     payload = typed_projection(source, target.schema)
-    null_key = _any_null(keys)
-    t_null = target.where(null_key)
-    t_keyed = target.where(~null_key)
-    s_keys = payload.where(~null_key).select(*keys)
-    kept = t_keyed.join(s_keys, keys, "left_anti")
-    return kept.unionByName(t_null).unionByName(payload)
+    s_keys = payload.where(~_any_null(keys)).select(*keys)
+    return target.join(s_keys, keys, "left_anti").unionByName(payload)
 
 
 def duplicate_keys(source: DataFrame, primary_key: str | Sequence[str]) -> DataFrame:

@@ -36,15 +36,20 @@ def transport(hwm: Column, pending: Column, default_strategy: Column, cutoff: in
 
 def cdc_plan(source: DataFrame, target: DataFrame, table_col: str, cdc_col: str,
              default_strategy: str | Column = STAGED, cutoff: int = DEFAULT_CUTOFF) -> DataFrame:
-    """One plan row per source table: hwm, pending_rows (rows at or above it), strategy, where_clause."""
+    """One plan row per source table: hwm, pending_rows (rows at or above it), strategy, where_clause.
+
+    One scan of each side: the target is reduced to its marks (partial and final
+    MAX), the source rows are tagged with their table's mark and counted in the
+    same grouped aggregate that lists the tables, so only aggregated rows are
+    shuffled; a table holding most rows costs one partial row per task.
+    """
     marks = high_water_marks(target, table_col, cdc_col)
-    pending = (source.select(table_col, cdc_col).join(marks, table_col)
-               .where(F.col(cdc_col) >= F.col("hwm"))
-               .groupBy(table_col).agg(F.count(F.lit(1)).alias("_tm_pending")))
-    tables = source.select(table_col).distinct()
-    p = tables.join(marks, table_col, "left").join(pending, table_col, "left")
+    tagged = source.select(table_col, cdc_col).join(marks, table_col, "left")
+    p = tagged.groupBy(table_col).agg(
+        F.max("hwm").alias("hwm"),
+        F.count(F.when(F.col(cdc_col) >= F.col("hwm"), 1)).alias("_tm_pending"))
     hwm = F.col("hwm")
-    pend = F.when(hwm.isNotNull(), F.coalesce(F.col("_tm_pending"), F.lit(0)))
+    pend = F.when(hwm.isNotNull(), F.col("_tm_pending"))
     dflt = default_strategy if isinstance(default_strategy, Column) else F.lit(default_strategy)
     return p.select(table_col, "hwm", pend.alias("pending_rows"),
                     transport(hwm, pend, dflt, cutoff).alias("strategy"),

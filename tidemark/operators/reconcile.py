@@ -62,6 +62,36 @@ def count_reconcile(mode: str, payload: DataFrame, before: DataFrame, after: Dat
                     expected.alias("expected_after"), ok.alias("ok"))
 
 
+def table_checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row: rows and an order-free content checksum (sum of 64-bit row hashes)."""
+    cols = list(columns or df.columns)
+    h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), F.lit(0)).cast("decimal(38,0)")
+                  .alias("checksum"))
+
+
+def content_reconcile(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Post-load validation: same rows and same content checksum on both sides (one aggregate)."""
+    cols = list(columns or target.columns)
+
+    def hashed(df: DataFrame, tag: int) -> DataFrame:
+        return df.select(F.lit(tag).alias("_tm_tag"),
+                         F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)").alias("_tm_h"))
+
+    u = hashed(source, 0).unionByName(hashed(target, 1))
+
+    def side(tag: int, what: str):
+        hit = F.col("_tm_tag") == tag
+        if what == "rows":
+            return F.count(F.when(hit, 1))
+        return F.coalesce(F.sum(F.when(hit, F.col("_tm_h"))), F.lit(0)).cast("decimal(38,0)")
+
+    out = u.agg(side(0, "rows").alias("source_rows"), side(0, "sum").alias("source_checksum"),
+                side(1, "rows").alias("target_rows"), side(1, "sum").alias("target_checksum"))
+    return out.withColumn("ok", (F.col("source_rows") == F.col("target_rows"))
+                          & (F.col("source_checksum") == F.col("target_checksum")))
+
+
 def duration_minutes(start: Column, end: Column) -> Column:
     """round((end - start) / 60, 2) in minutes, from whole seconds."""
     return F.round(seconds_between(start, end) / F.lit(60.0), 2)

@@ -185,3 +185,45 @@ def q_row_count_reconcile(spark, sf_dir):
                          loading.replace_where(tgt, src, REPLACE_WHERE), where=REPLACE_WHERE)
     mg = count_reconcile("merge", src, tgt, loading.merge_pk(tgt, src, MERGE_KEY), primary_key=MERGE_KEY)
     return over.unionByName(rw).unionByName(mg)
+
+
+# ---------------------------------------------------------------- whole load flows
+FLOW_WHERE = "o_orderdate >= '1999-06-01'"
+SOURCE_DICTIONARY = [
+    ColumnSpec("o_orderkey", "I8"),
+    ColumnSpec("o_custkey", "I8"),
+    ColumnSpec("o_orderstatus", "CF", format="X(1)"),
+    ColumnSpec("o_totalprice", "F"),
+    ColumnSpec("o_orderdate", "TS", max_length=19),
+    ColumnSpec("o_orderpriority", "CV"),
+]
+
+
+@register("load_flow_direct", O.with_views(
+    "SELECT " + ", ".join(f"CASE WHEN s._in THEN s.{c} ELSE t.{c} END AS {c}" for c in _COLS) + f"""
+FROM load_target t FULL OUTER JOIN (SELECT *, true AS _in FROM load_source WHERE {FLOW_WHERE}) s
+  ON t.o_orderkey = s.o_orderkey""", "load_source", "load_target"))
+def q_load_flow_direct(spark, sf_dir):
+    """Direct load with a key and a predicate: the predicate narrows the extract, the key merges."""
+    from tidemark.plans.flows import LoadPlan, run_load
+    fx = Fixtures(spark, sf_dir)
+    res = run_load(spark, fx.load_source, fx.load_target,
+                   LoadPlan("SRC.ORDERS", "JDBC", where_clause=FLOW_WHERE, primary_key=MERGE_KEY))
+    if res.path is None:
+        raise RuntimeError(res.report.first().error)
+    return spark.read.parquet(res.path)
+
+
+@register("load_flow_staged", O.with_views(f"""
+SELECT * FROM load_target WHERE NOT coalesce({REPLACE_WHERE}, false)
+UNION ALL
+SELECT * FROM load_source WHERE {REPLACE_WHERE}""", "load_source", "load_target"))
+def q_load_flow_staged(spark, sf_dir):
+    """Staged load with a predicate: export as text, read back typed, delete + append."""
+    from tidemark.plans.flows import LoadPlan, run_load
+    fx = Fixtures(spark, sf_dir)
+    res = run_load(spark, fx.load_source, fx.load_target, LoadPlan("SRC.ORDERS", "WriteNOS", REPLACE_WHERE),
+                   dictionary=SOURCE_DICTIONARY, max_records_per_file=EXPORT_FILE_ROWS)
+    if res.path is None:
+        raise RuntimeError(res.report.first().error)
+    return spark.read.parquet(res.path)

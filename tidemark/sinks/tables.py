@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from tidemark.session import work_path
 
@@ -28,11 +30,33 @@ def publish(df: DataFrame, path: str | None = None, *, partition_by: list[str] |
     return path
 
 
-def append(df: DataFrame, path: str) -> str:
+def append(df: DataFrame, path: str, *, expect_schema: StructType | None = None) -> str:
+    """Bulk append (forced reload, no schema merge): the payload schema must equal the table's."""
+    if expect_schema is not None and _shape(df.schema) != _shape(expect_schema):
+        raise ValueError(f"payload schema {df.schema.simpleString()} does not match the table "
+                         f"{expect_schema.simpleString()}")
     df.write.mode("append").parquet(path)
     return path
 
 
+def _shape(schema: StructType) -> list[tuple[str, str]]:
+    return [(f.name.lower(), f.dataType.simpleString()) for f in schema.fields]
+
+
+def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> bool:
+    """Create an empty control table (queue, history) unless one exists; True when created.
+
+    Parquet has no primary-key constraint: uniqueness is checked by a query
+    (``queue_key_check``).
+    """
+    try:
+        spark.read.parquet(path).schema
+        return False
+    except AnalysisException:
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        return True
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> str:
     """Overwrite only the partitions present in ``df`` (dynamic partition overwrite)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
