@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.staleness import staleness_minutes, staleness_tier, weighted_priority
 from tidemark.functions.timeexpr import ntz
 from tidemark.schemas import DIRECT, QUEUED, STAGED
-from tidemark.session import shared_dir
+from tidemark.sinks.tables import materialize
 
 RANK_COLUMNS = [
     "source_table", "target_table", "where_clause", "primary_key", "event_time",
@@ -43,13 +43,13 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank"
 
     Rows are range-partitioned on the order keys and sorted inside each
     partition; (partition id, position in partition) are then written once
-    with a reliable ``checkpoint()``. Counting per partition and numbering both
-    read that data, so they agree even when a re-run would sample different
-    range bounds or fetch shuffle blocks in another order. Only one count row
-    per partition is combined and broadcast.
+    to the shared work folder (a lineage cut like a reliable checkpoint).
+    Counting per partition and numbering both read that data, so they agree
+    even when a re-run would sample different range bounds or fetch shuffle
+    blocks in another order. Only one count row per partition is combined and
+    broadcast.
     """
     spark = df.sparkSession
-    shared_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = (
         df.repartitionByRange(n, *order)
@@ -57,8 +57,8 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank"
         .withColumn("_tm_part", F.spark_partition_id())
         .withColumn("_tm_pos", F.monotonically_increasing_id()
                     - F.shiftleft(F.col("_tm_part").cast("bigint"), 33))
-        .checkpoint(eager=True)
     )
+    placed = materialize(placed, "rank")
     counts = placed.groupBy("_tm_part").agg(F.count(F.lit(1)).alias("_tm_n"))
     before = Window.orderBy("_tm_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_tm_part", F.coalesce(F.sum("_tm_n").over(before), F.lit(0)).alias("_tm_off"))

@@ -8,13 +8,14 @@ from tidemark.operators import ranking
 from tidemark.plans import oracle as O
 from tidemark.plans.fixtures import RANK_AS_OF, SLOTS, Fixtures
 from tidemark.plans.registry import register
+from tidemark.sinks import tables
 
 
 def claims(fx: Fixtures, materialize: bool = True) -> DataFrame:
     """This cycle's claims. They are a decision applied to both queue and history, so
-    they are fixed once (reliable checkpoint; at most the slot total of rows)."""
+    they are fixed once (written to the shared work folder; at most the slot total of rows)."""
     c = ranking.claim_slots(ranking.priority_rank(fx.queue, fx.attrs, RANK_AS_OF), SLOTS)
-    return c.checkpoint(eager=True) if materialize else c
+    return tables.materialize(c, "claims") if materialize else c
 
 
 @register("priority_rank", O.with_views("SELECT * FROM ranked", "ranked"))

@@ -30,6 +30,19 @@ def publish(df: DataFrame, path: str | None = None, *, partition_by: list[str] |
     return path
 
 
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once to a new folder under the shared work folder and read it back.
+
+    Cuts lineage like a reliable checkpoint, but computes the input only once
+    (``checkpoint(eager=True)`` on an unpersisted plan computes it twice: once
+    for the eager count, once to write the files). Every later use reads the
+    same rows, and a lost executor re-reads files instead of recomputing.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def append(df: DataFrame, path: str, *, expect_schema: StructType | None = None) -> str:
     """Bulk append (forced reload, no schema merge): the payload schema must equal the table's."""
     if expect_schema is not None and _shape(df.schema) != _shape(expect_schema):

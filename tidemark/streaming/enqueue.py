@@ -45,6 +45,21 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.parquet(version_path(root, version))
 
 
+def previous_version(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
+    """The version a micro-batch builds on: ``batch_id - 1`` (or the seed), read directly.
+
+    Batch ids are consecutive in the offset log and a batch is committed only
+    after its version is written, so this folder exists; listing all versions
+    is only the fallback (e.g. a new checkpoint over an existing table).
+    """
+    want = batch_id - 1 if batch_id > 0 else INITIAL_VERSION
+    try:
+        return spark.read.parquet(version_path(root, want))
+    except AnalysisException:
+        prev = latest_version(spark, root, below=batch_id)
+        return None if prev is None else spark.read.parquet(version_path(root, prev))
+
+
 def publish_version(df: DataFrame, root: str, version: int) -> str:
     path = version_path(root, version)
     df.write.mode("overwrite").parquet(path)
@@ -61,8 +76,9 @@ class QueueEnqueueBatch:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = latest_version(spark, self.queue_root, below=batch_id)
-        queue = read_version(spark, self.queue_root, prev)
+        queue = previous_version(spark, self.queue_root, batch_id)
+        if queue is None:
+            raise ValueError(f"no queue version to build batch {batch_id} on under {self.queue_root}")
         records = enqueue_from_feed(batch, self.attrs, self.catalog)
         publish_version(queue_upsert(queue, records), self.queue_root, batch_id)
         batch_metrics(batch, queue, batch_id).write.mode("overwrite").parquet(
@@ -109,9 +125,8 @@ class CoalesceMergeBatch:
         self.root = root
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = latest_version(spark, self.root, below=batch_id)
-        merged = batch if prev is None else merge_pk(read_version(spark, self.root, prev), batch, "source_table")
+        prev = previous_version(batch.sparkSession, self.root, batch_id)
+        merged = batch if prev is None else merge_pk(prev, batch, "source_table")
         publish_version(merged, self.root, batch_id)
 
 
