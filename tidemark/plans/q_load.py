@@ -19,7 +19,7 @@ TABLE_COL, CDC_COL = "o_orderpriority", "o_orderdate"
 CDC_CUTOFF = 720
 REPLACE_WHERE = "o_orderdate >= '1998-01-01'"
 MERGE_KEY = "o_orderkey"
-STAGE_ROOT = "reload-stage"
+STAGE_ROOT = "sync-stage"
 EXPORT_FILE_ROWS = 1000
 # The source dictionary of `orders` as the source system would describe it.
 ORDERS_DICTIONARY = [
