@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import feed as feedops
 from tidemark.operators import queue as qops
 from tidemark.plans import oracle as O
-from tidemark.plans.fixtures import CATALOG, CYCLE_END, CYCLE_START, RANK_AS_OF, Fixtures
+from tidemark.plans.fixtures import CATALOG, CYCLE_END, CYCLE_START, RANK_AS_OF, SLOTS, Fixtures
 from tidemark.plans.q_feed import records
 from tidemark.plans.q_ranking import claims
 from tidemark.plans.registry import register
@@ -162,3 +162,42 @@ SELECT max(et) AS watermark FROM (
 def q_resume_watermark(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return qops.resume_watermark(fx.queue, fx.history, start=CYCLE_START)
+
+
+# ---------------------------------------------------------------- one whole cycle
+def _cycle(fx: Fixtures):
+    from tidemark.plans import cycle
+    q1 = cycle.enqueue(fx.queue, fx.feed, fx.attrs, CATALOG, CYCLE_START, CYCLE_END)
+    return cycle.dispatch(q1, fx.history, fx.attrs, CYCLE_END, SLOTS)
+
+
+_CYCLE_VIEWS = {"ranked2": O.ranked_cte(CYCLE_END, source="upserted"),
+                "claims2": O._claims_sql(SLOTS["JDBC"], SLOTS["WriteNOS"], ranked="ranked2")}
+
+
+@register("cycle_queue", O.with_views(f"""
+SELECT q.source_table, q.target_table, q.where_clause, q.primary_key, q.event_time,
+  CASE WHEN c.source_table IS NOT NULL THEN TIMESTAMP '{CYCLE_END}' ELSE q.trigger_time END AS trigger_time,
+  q.strategy, q.lock_rows, CASE WHEN c.source_table IS NOT NULL THEN 'R' ELSE q.status END AS status,
+  q.priority, q.event_time_latest
+FROM upserted q LEFT JOIN claims2 c ON q.source_table = c.source_table AND q.event_time = c.event_time""",
+                                      "upserted", extra=_CYCLE_VIEWS))
+def q_cycle_queue(spark, sf_dir):
+    """Enqueue the cycle's feed, then rank and claim on the new queue: the queue after the cycle."""
+    return _cycle(Fixtures(spark, sf_dir)).queue
+
+
+@register("cycle_history", O.with_views(f"""
+SELECT * FROM history h
+WHERE h.status = 'RUNNING'
+   OR NOT EXISTS (SELECT 1 FROM claims2 c WHERE c.source_table = h.source_table AND c.event_time = h.event_time)
+UNION ALL
+SELECT c.source_table, c.target_table, c.where_clause, c.primary_key, 'RUNNING', c.event_time,
+  TIMESTAMP '{CYCLE_END}', CAST(NULL AS TIMESTAMP), CAST(NULL AS DOUBLE), c.strategy, c.lock_rows, c.priority,
+  CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT)
+FROM claims2 c
+WHERE NOT EXISTS (SELECT 1 FROM history h WHERE h.source_table = c.source_table AND h.event_time = c.event_time
+                    AND h.status = 'RUNNING')""", "upserted", "history", extra=_CYCLE_VIEWS))
+def q_cycle_history(spark, sf_dir):
+    """History after the same cycle's claims."""
+    return _cycle(Fixtures(spark, sf_dir)).history
