@@ -187,3 +187,18 @@ def test_sinks_strict_append_create_and_partitions(spark, tmp_path):
     tables.publish(df, q, partition_by=["k2"])
     tables.replace_partitions(spark.createDataFrame([(9, "b", 9.0)], SCHEMA), q, ["k2"])
     assert rows(spark.read.parquet(q).select("id", "k2", "v")) == [(1, "a", 1.0), (9, "b", 9.0)]
+
+
+def test_replace_where_in_place_touches_only_matching_partitions(spark, tmp_path):
+    import os
+    p = str(tmp_path / "parts")
+    tgt = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)], SCHEMA)
+    tables.publish(tgt, p, partition_by=["k2"])
+    before = {d: sorted(os.listdir(os.path.join(p, d))) for d in os.listdir(p) if d.startswith("k2=")}
+    src = spark.createDataFrame([(20, "b", 20.0), (30, "c", 30.0), (40, "d", 40.0)], SCHEMA)
+    tables.replace_where_in_place(spark, p, src, "k2 IN ('b', 'd')", ["k2"])
+    after = {d: sorted(os.listdir(os.path.join(p, d))) for d in os.listdir(p) if d.startswith("k2=")}
+    assert after["k2=a"] == before["k2=a"] and after["k2=c"] == before["k2=c"]  # untouched files kept
+    assert after["k2=b"] != before["k2=b"] and "k2=d" in after
+    assert rows(spark.read.parquet(p).select("id", "k2", "v")) == [(1, "a", 1.0), (3, "c", 3.0), (20, "b", 20.0),
+                                                                  (40, "d", 40.0)]

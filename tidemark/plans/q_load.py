@@ -227,3 +227,17 @@ def q_load_flow_staged(spark, sf_dir):
     if res.path is None:
         raise RuntimeError(res.report.first().error)
     return spark.read.parquet(res.path)
+
+
+@register("load_replace_where_partitions", O.with_views(f"""
+SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_orderyear FROM load_target WHERE NOT coalesce({REPLACE_WHERE}, false)
+UNION ALL
+SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_orderyear FROM load_source WHERE {REPLACE_WHERE}""",
+                                                        "load_source", "load_target"))
+def q_load_replace_where_partitions(spark, sf_dir):
+    """Replace-where on a target partitioned by order year: only the touched years are rewritten."""
+    fx = Fixtures(spark, sf_dir)
+    year = F.year("o_orderdate").cast("int").alias("o_orderyear")
+    path = tables.publish(fx.load_target.select("*", year), name="load_partitioned", partition_by=["o_orderyear"])
+    tables.replace_where_in_place(spark, path, fx.load_source.select("*", year), REPLACE_WHERE, ["o_orderyear"])
+    return spark.read.parquet(path)

@@ -107,3 +107,24 @@ def stage_file_counts(spark: SparkSession, path: str) -> DataFrame:
     """Record count per exported file (file_path, records)."""
     return (spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file_path"))
             .agg(F.count(F.lit(1)).alias("records")))
+
+
+def replace_where_in_place(spark: SparkSession, path: str, payload: DataFrame, where: str,
+                           partition_by: list[str]) -> str:
+    """Delete-by-predicate + append on a partitioned table, rewriting only touched partitions.
+
+    Touched partitions are those holding a target row or a payload row that
+    matches the predicate (one small distinct list). Their next content (target
+    rows kept by ``coalesce(p, false) = false`` plus matching payload rows) is
+    first written to the shared work folder, which cuts the lineage to the
+    files about to be replaced, then swapped in by dynamic partition overwrite.
+    Untouched partitions are neither read back nor rewritten.
+    """
+    p = F.expr(where)
+    target = spark.read.parquet(path)
+    fresh = payload.where(p).select(*target.columns)
+    touched = (target.where(F.coalesce(p, F.lit(False))).select(*partition_by)
+               .unionByName(fresh.select(*partition_by)).distinct())
+    kept = target.join(touched, partition_by, "left_semi").where(~F.coalesce(p, F.lit(False)))
+    staged = materialize(kept.unionByName(fresh), "replace_where")
+    return replace_partitions(staged.select(*target.columns), path, partition_by)
