@@ -174,6 +174,8 @@ def test_content_reconcile(spark):
     assert content_reconcile(a, b).first().ok
     assert not content_reconcile(a, c).first().ok
     assert table_checksum(a).first().rows == 2
+    by = {r.k2: r.ok for r in content_reconcile(a, c, by="k2").collect()}
+    assert by == {"a": True, "b": False}
 
 
 def test_sinks_strict_append_create_and_partitions(spark, tmp_path):

@@ -70,12 +70,19 @@ def table_checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
                   .alias("checksum"))
 
 
-def content_reconcile(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Post-load validation: same rows and same content checksum on both sides (one aggregate)."""
-    cols = list(columns or target.columns)
+def content_reconcile(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None,
+                      by: str | None = None) -> DataFrame:
+    """Post-load validation: same rows and same content checksum on both sides.
+
+    One aggregate over a tagged union (grouped by table when ``by`` names the
+    table column); the checksum is the sum of 64-bit row hashes, so it does not
+    depend on row order or partitioning.
+    """
+    cols = [c for c in (columns or target.columns) if c != by]
 
     def hashed(df: DataFrame, tag: int) -> DataFrame:
-        return df.select(F.lit(tag).alias("_tm_tag"),
+        keys = [F.col(by)] if by else []
+        return df.select(*keys, F.lit(tag).alias("_tm_tag"),
                          F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)").alias("_tm_h"))
 
     u = hashed(source, 0).unionByName(hashed(target, 1))
@@ -86,8 +93,9 @@ def content_reconcile(source: DataFrame, target: DataFrame, columns: Sequence[st
             return F.count(F.when(hit, 1))
         return F.coalesce(F.sum(F.when(hit, F.col("_tm_h"))), F.lit(0)).cast("decimal(38,0)")
 
-    out = u.agg(side(0, "rows").alias("source_rows"), side(0, "sum").alias("source_checksum"),
-                side(1, "rows").alias("target_rows"), side(1, "sum").alias("target_checksum"))
+    aggs = [side(0, "rows").alias("source_rows"), side(0, "sum").alias("source_checksum"),
+            side(1, "rows").alias("target_rows"), side(1, "sum").alias("target_checksum")]
+    out = u.groupBy(by).agg(*aggs) if by else u.agg(*aggs)
     return out.withColumn("ok", (F.col("source_rows") == F.col("target_rows"))
                           & (F.col("source_checksum") == F.col("target_checksum")))
 

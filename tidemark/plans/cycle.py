@@ -26,6 +26,12 @@ class Dispatch:
     history: DataFrame
 
 
+def resume_mark(queue: DataFrame, history: DataFrame, start):
+    """The feed mark to resume from on a first start: one aggregated value (latest known
+    event in queue or history), else ``start``."""
+    return qops.resume_watermark(queue, history, start=start).first()["watermark"]
+
+
 def enqueue(queue: DataFrame, tracking: DataFrame, attrs: DataFrame, catalog: str, watermark, as_of,
             plan: DataFrame | None = None, **scan_options) -> DataFrame:
     """Read the feed range (watermark, as_of], coalesce per table, enrich and MERGE into the queue."""

@@ -30,6 +30,13 @@ def publish(df: DataFrame, path: str | None = None, *, partition_by: list[str] |
     return path
 
 
+def point_view(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Point a session view at a published version (readers switch in one step)."""
+    df = spark.read.parquet(path)
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     """Write ``df`` once to a new folder under the shared work folder and read it back.
 
