@@ -55,3 +55,17 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", ["priority_rank", "staleness_tiers", "event_time_format", "event_time_parse",
+                                  "load_report", "history_after_complete"])
+def test_results_do_not_depend_on_session_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.sql(E.oracle_sql()[name])
+    assert _bag(df.columns, rows) == _bag(res.columns, res.fetchall())

@@ -79,11 +79,7 @@ def local_text(ts: Column, zone: str = DEFAULT_ZONE) -> Column:
 
 def is_valid_text(text: Column) -> Column:
     """True when ``text`` has the strict event-time form and is a real date-time."""
-    return (
-        text.isNotNull()
-        & text.rlike(TEXT_PATTERN)
-        & F.try_to_timestamp(text, F.lit(TEXT_FORMAT)).isNotNull()
-    )
+    return F.coalesce(text.rlike(TEXT_PATTERN) & text.try_cast("timestamp_ntz").isNotNull(), F.lit(False))
 
 
 def parse_local_text(text: Column, zone: str = DEFAULT_ZONE) -> Column:
