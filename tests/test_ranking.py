@@ -113,3 +113,19 @@ def test_rank_contract(spark):
     with pytest.raises(ValueError):
         ranking.rank_queue(q, _attrs(spark, []), AS_OF, view=lambda q, a, t: q)
     assert "rank" in ranking.rank_queue(q, _attrs(spark, []), AS_OF, view=ranking.fifo_rank).columns
+
+
+def test_global_row_number_with_aqe_coalesced_ranges(spark):
+    """AQE merges neighbouring range partitions; numbering must stay exact."""
+    rnd = random.Random(11)
+    data = [(rnd.randint(0, 5), rnd.randint(0, 50), f"k{i:05d}") for i in range(20000)]
+    df = spark.createDataFrame(data, "p int, t int, k string").repartition(6)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        ranked = ranking.global_row_number(df, [F.col("p").desc(), F.col("t"), F.col("k")])
+        got = {r.k: r.rank for r in ranked.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    want = {k: i + 1 for i, (p, t, k) in enumerate(sorted(data, key=lambda x: (-x[0], x[1], x[2])))}
+    assert got == want

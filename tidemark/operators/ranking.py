@@ -49,11 +49,11 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank"
     blocks in another order. Only one count row per partition is combined and
     broadcast.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without a fixed count AQE sizes the range partitions from the data; it only
+    # merges neighbouring ranges (never splits one), so order is kept.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     placed = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_tm_part", F.spark_partition_id())
         .withColumn("_tm_pos", F.monotonically_increasing_id()
                     - F.shiftleft(F.col("_tm_part").cast("bigint"), 33))
