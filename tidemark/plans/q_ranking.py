@@ -11,9 +11,10 @@ from tidemark.plans.registry import register
 from tidemark.sinks import tables
 
 
-def claims(fx: Fixtures, materialize: bool = True) -> DataFrame:
-    """This cycle's claims. They are a decision applied to both queue and history, so
-    they are fixed once (written to the shared work folder; at most the slot total of rows)."""
+def claims(fx: Fixtures, materialize: bool = False) -> DataFrame:
+    """This cycle's claims. They are derived from the materialized rank placement, so they
+    are deterministic; ``materialize`` writes them once more (at most the slot total of
+    rows) when several consumers should read the very same rows (see ``cycle.dispatch``)."""
     c = ranking.claim_slots(ranking.priority_rank(fx.queue, fx.attrs, RANK_AS_OF), SLOTS)
     return tables.materialize(c, "claims") if materialize else c
 
@@ -52,4 +53,4 @@ def q_claim_next(spark, sf_dir):
 
 @register("claim_slots", O.with_views("SELECT * FROM claims", "claims"))
 def q_claim_slots(spark, sf_dir):
-    return claims(Fixtures(spark, sf_dir), materialize=False)
+    return claims(Fixtures(spark, sf_dir))
