@@ -204,3 +204,20 @@ def test_replace_where_in_place_touches_only_matching_partitions(spark, tmp_path
     assert after["k2=b"] != before["k2=b"] and "k2=d" in after
     assert rows(spark.read.parquet(p).select("id", "k2", "v")) == [(1, "a", 1.0), (3, "c", 3.0), (20, "b", 20.0),
                                                                   (40, "d", 40.0)]
+
+
+def test_run_load_reports_and_validates(spark):
+    from tidemark.plans.flows import LoadPlan, run_load
+    tgt = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], SCHEMA)
+    src = spark.createDataFrame([(2, "b", 20.0), (3, "b", 30.0)], SCHEMA)
+    ok = run_load(spark, src, tgt, LoadPlan("S.T", "JDBC", primary_key="id"), validate=True)
+    rep = ok.report.first()
+    assert rep.status == "SUCCESS" and rep.num_records == 2 and rep.strategy == "jdbc" and rep.error == ""
+    assert ok.check.first().ok
+    assert rows(spark.read.parquet(ok.path)) == [(1, "a", 1.0), (2, "b", 20.0), (3, "b", 30.0)]
+    staged = run_load(spark, src, tgt, LoadPlan("S.T", "WriteNOS", primary_key="id"), validate=True)
+    assert rows(spark.read.parquet(staged.path)) == [(2, "b", 20.0), (3, "b", 30.0)]  # truncate, then insert
+    dup = spark.createDataFrame([(5, "a", 1.0), (5, "b", 2.0)], SCHEMA)
+    bad = run_load(spark, dup, tgt, LoadPlan("S.T", "JDBC", primary_key="id"))
+    r = bad.report.first()
+    assert bad.path is None and r.status == "FAILED" and "duplicate keys" in r.error
