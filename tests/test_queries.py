@@ -69,3 +69,12 @@ def test_results_do_not_depend_on_session_zone(spark, duck, name):
         spark.conf.set("spark.sql.session.timeZone", old)
     res = duck.sql(E.oracle_sql()[name])
     assert _bag(df.columns, rows) == _bag(res.columns, res.fetchall())
+
+
+def test_stored_control_fixtures_equal_lazy_ones(spark):
+    from tidemark.plans.fixtures import Fixtures
+    lazy, stored = Fixtures(spark, SF_SMALL), Fixtures(spark, SF_SMALL, store_control=True)
+    for name in ("attrs", "queue", "history"):
+        a, b = getattr(lazy, name), getattr(stored, name)
+        assert a.schema.simpleString() == b.schema.simpleString()
+        assert _bag(a.columns, a.collect()) == _bag(b.columns, b.collect())
