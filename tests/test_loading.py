@@ -221,3 +221,18 @@ def test_run_load_reports_and_validates(spark):
     bad = run_load(spark, dup, tgt, LoadPlan("S.T", "JDBC", primary_key="id"))
     r = bad.report.first()
     assert bad.path is None and r.status == "FAILED" and "duplicate keys" in r.error
+
+
+def test_merge_in_place_rewrites_touched_partitions_only(spark, tmp_path):
+    import os
+    p = str(tmp_path / "m")
+    tgt = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)], SCHEMA)
+    tables.publish(tgt, p, partition_by=["k2"])
+    before = {d: sorted(os.listdir(os.path.join(p, d))) for d in os.listdir(p) if d.startswith("k2=")}
+    tables.merge_in_place(spark, p, spark.createDataFrame([(2, "b", 20.0), (4, "b", 40.0)], SCHEMA), "id", ["k2"])
+    after = {d: sorted(os.listdir(os.path.join(p, d))) for d in os.listdir(p) if d.startswith("k2=")}
+    assert after["k2=a"] == before["k2=a"] and after["k2=c"] == before["k2=c"] and after["k2=b"] != before["k2=b"]
+    assert rows(spark.read.parquet(p).select("id", "k2", "v")) == [(1, "a", 1.0), (2, "b", 20.0), (3, "c", 3.0),
+                                                                  (4, "b", 40.0)]
+    with pytest.raises(ValueError, match="partitions"):  # key 1 would move from a to b
+        tables.merge_in_place(spark, p, spark.createDataFrame([(1, "b", 9.0)], SCHEMA), "id", ["k2"])

@@ -241,3 +241,17 @@ def q_load_replace_where_partitions(spark, sf_dir):
     path = tables.publish(fx.load_target.select("*", year), name="load_partitioned", partition_by=["o_orderyear"])
     tables.replace_where_in_place(spark, path, fx.load_source.select("*", year), REPLACE_WHERE, ["o_orderyear"])
     return spark.read.parquet(path)
+
+
+@register("load_merge_pk_partitions", O.with_views(
+    "SELECT " + ", ".join(f"CASE WHEN s._in THEN s.{c} ELSE t.{c} END AS {c}" for c in _COLS) + """,
+  CAST(year(CASE WHEN s._in THEN s.o_orderdate ELSE t.o_orderdate END) AS INTEGER) AS o_orderyear
+FROM load_target t FULL OUTER JOIN (SELECT *, true AS _in FROM load_source) s ON t.o_orderkey = s.o_orderkey""",
+    "load_source", "load_target"))
+def q_load_merge_pk_partitions(spark, sf_dir):
+    """Key merge into a target partitioned by order year, rewriting only the years the payload touches."""
+    fx = Fixtures(spark, sf_dir)
+    year = F.year("o_orderdate").cast("int").alias("o_orderyear")
+    path = tables.publish(fx.load_target.select("*", year), name="load_partitioned", partition_by=["o_orderyear"])
+    tables.merge_in_place(spark, path, fx.load_source.select("*", year), MERGE_KEY, ["o_orderyear"])
+    return spark.read.parquet(path)

@@ -135,3 +135,30 @@ def replace_where_in_place(spark: SparkSession, path: str, payload: DataFrame, w
     kept = target.join(touched, partition_by, "left_semi").where(~F.coalesce(p, F.lit(False)))
     staged = materialize(kept.unionByName(fresh), "replace_where")
     return replace_partitions(staged.select(*target.columns), path, partition_by)
+
+
+def merge_in_place(spark: SparkSession, path: str, payload: DataFrame, primary_key, partition_by: list[str],
+                   check_moves: bool = True) -> str:
+    """Primary-key MERGE into a partitioned table, rewriting only the partitions the payload touches.
+
+    Only target partitions holding a payload row are read (a semi join on the
+    partition columns, which Spark prunes dynamically), merged, staged in the
+    shared work folder and swapped in by dynamic partition overwrite. This
+    needs every key to stay in its partition; ``check_moves`` verifies that no
+    payload key exists in an untouched partition by reading key and partition
+    columns only, and refuses the load otherwise (use ``merge_pk`` + ``publish``).
+    """
+    from tidemark.operators.loading import key_columns, merge_pk
+
+    keys = key_columns(primary_key)
+    target = spark.read.parquet(path)
+    payload = payload.select(*target.columns)
+    touched = payload.select(*partition_by).distinct()
+    if check_moves:
+        elsewhere = (target.select(*keys, *partition_by).join(touched, partition_by, "left_anti")
+                     .join(payload.select(*keys), keys, "left_semi"))
+        if not elsewhere.isEmpty():
+            raise ValueError("payload keys exist in partitions the payload does not touch")
+    current = target.join(touched, partition_by, "left_semi")
+    staged = materialize(merge_pk(current, payload, keys), "merge")
+    return replace_partitions(staged.select(*target.columns), path, partition_by)
