@@ -1,7 +1,8 @@
 """One table load, end to end: extract -> (stage) -> load rewrite -> publish -> report.
 
 Direct flow: the payload is the source relation filtered by the planned
-predicate (pushed into the scan) and goes straight into the rewrite.
+predicate (pushed into the scan), written once as a snapshot so every later
+step sees the same rows of the live source, then loaded.
 Staged flow: the payload is first exported as text Parquet (bounded files),
 read back with the string-first schema, then loaded; without a predicate the
 target is truncated first, so a keyed load becomes a plain insert.
@@ -54,7 +55,10 @@ def _payload(spark: SparkSession, source: DataFrame, target: DataFrame, plan: Lo
              dictionary=None, max_records_per_file: int | None = None) -> tuple[DataFrame, int | None]:
     extracted = extract_where(source, plan.where_clause)
     if plan.strategy != STAGED:
-        return extracted, None
+        # One snapshot of the live source: the key check, the anti join, the
+        # append and the count must all see the same rows.
+        snap = tables.materialize(extracted, "extract")
+        return snap, None
     text = (projection.source_text_projection(extracted, dictionary, target.schema) if dictionary
             else extracted)
     path, written = tables.export_stage(text, max_records_per_file=max_records_per_file)

@@ -152,7 +152,7 @@ def merge_in_place(spark: SparkSession, path: str, payload: DataFrame, primary_k
 
     keys = key_columns(primary_key)
     target = spark.read.parquet(path)
-    payload = payload.select(*target.columns)
+    payload = materialize(payload.select(*target.columns), "payload")  # one snapshot for every use below
     touched = payload.select(*partition_by).distinct()
     if check_moves:
         elsewhere = (target.select(*keys, *partition_by).join(touched, partition_by, "left_anti")
