@@ -16,6 +16,14 @@ from pyspark.sql import types as T
 
 from tidemark.operators.projection import typed_projection
 
+# Fixed value: a replication bookkeeping column that payloads never carry.
+REPLICATION_COLUMN = "REPLICATE_IO_METADATA_VERSION"
+
+
+def payload_schema(target: DataFrame) -> T.StructType:
+    """The target's columns a payload must provide (the replication column excluded)."""
+    return T.StructType([f for f in target.schema.fields if f.name != REPLICATION_COLUMN])
+
 
 def key_columns(primary_key: str | Sequence[str]) -> list[str]:
     """'a, b' -> ['a', 'b']."""
@@ -48,8 +56,8 @@ def replace_where(target: DataFrame, source: DataFrame, where: str | Column) ->
     """
     p = predicate(where)
     kept = target.where(~F.coalesce(p, F.lit(False)))
-    fresh = typed_projection(source.where(p), target.schema)
-    return kept.unionByName(fresh)
+    fresh = typed_projection(source.where(p), payload_schema(target))
+    return kept.unionByName(fresh, allowMissingColumns=True)
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -68,9 +76,9 @@ def merge_pk(target: DataFrame, source: DataFrame, primary_key: str | Sequence[s
     Duplicate payload keys are the caller's to reject (``duplicate_keys``).
     """
     keys = key_columns(primary_key)
-    payload = typed_projection(source, target.schema)
+    payload = typed_projection(source, payload_schema(target))
     s_keys = payload.where(~_any_null(keys)).select(*keys)
-    return target.join(s_keys, keys, "left_anti").unionByName(payload)
+    return target.join(s_keys, keys, "left_anti").unionByName(payload, allowMissingColumns=True)
 
 
 def duplicate_keys(source: DataFrame, primary_key: str | Sequence[str]) -> DataFrame:

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.operators.loading import REPLICATION_COLUMN
 from tidemark.operators.projection import ColumnSpec
 
-# Fixed value: a replication bookkeeping column that is not part of the data.
-REPLICATION_COLUMN = "REPLICATE_IO_METADATA_VERSION"
-
 
 def target_schema(spark: SparkSession, table: str | DataFrame) -> T.StructType:
     """Schema of the target (catalog name or DataFrame) without the replication column."""
