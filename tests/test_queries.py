@@ -11,6 +11,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 TABLES = ["customer", "orders", "events", "lineitem"]
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+               "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 
 
 def _norm(v):
@@ -50,6 +52,10 @@ def test_query_matches_oracle(spark, duck, name):
         pytest.skip("no SQL oracle")
     res = duck.sql(sql)
     assert sorted(df.columns) == sorted(res.columns)
+    duck_types = dict(zip(res.columns, [str(t).replace(" ", "") for t in res.types]))
+    for f in df.schema.fields:  # types line up too, not only names
+        t = f.dataType.simpleString()
+        assert duck_types[f.name] == (t.upper() if t.startswith("decimal") else _DUCK_TYPES.get(t, t)), f.name
     assert _bag(df.columns, rows) == _bag(res.columns, res.fetchall())
 
 
@@ -78,3 +84,4 @@ def test_stored_control_fixtures_equal_lazy_ones(spark):
         a, b = getattr(lazy, name), getattr(stored, name)
         assert a.schema.simpleString() == b.schema.simpleString()
         assert _bag(a.columns, a.collect()) == _bag(b.columns, b.collect())
+
