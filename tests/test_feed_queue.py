@@ -170,3 +170,14 @@ def test_requeue_key_check_length_watermark(spark):
     wm = qops.resume_watermark(empty_q, empty_h, start="2024-01-01 00:00:00").first().watermark
     assert wm == dt.datetime(2024, 1, 1)
     assert qops.queue_reset(queue).count() == 0
+
+
+def test_salted_enrich_equals_plain_join(spark):
+    hot = [("S.H", T0 + dt.timedelta(seconds=i)) for i in range(300)]
+    f = feed(spark, hot + [("S.A", T0), ("S.X", T0)])
+    a = attrs(spark, [("S.H", None, "s", None, None, "JDBC", False, 1, 0, 60),
+                      ("S.A", None, "s", None, None, "TPT", False, 2, 0, 60)])
+    plain = sorted(map(tuple, feedops.enrich(f, a).collect()))
+    salted = feedops.enrich(f, a, salt_buckets=8)
+    assert sorted(map(tuple, salted.select(*feedops.enrich(f, a).columns).collect())) == plain
+    assert len(plain) == 301

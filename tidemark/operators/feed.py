@@ -39,10 +39,23 @@ def table_attrs(attrs: DataFrame, feed: DataFrame) -> DataFrame:
     return enabled(attrs).join(table_names(feed), "source_table", "left_semi")
 
 
-def enrich(feed: DataFrame, attrs: DataFrame) -> DataFrame:
-    """Feed rows with their enabled attributes; rows without attributes drop out."""
+def enrich(feed: DataFrame, attrs: DataFrame, salt_buckets: int | None = None) -> DataFrame:
+    """Feed rows with their enabled attributes; rows without attributes drop out.
+
+    Attributes hold one row per table, so the planner normally broadcasts
+    them, or AQE splits a hot table's partition. ``salt_buckets`` forces a
+    salted join instead: each feed row goes to one of N buckets by a hash of
+    the row (deterministic, so a retried task places it the same way) and each
+    attribute row is replicated to all N buckets, which spreads a table
+    holding a large share of the feed over N tasks.
+    """
     a = enabled(attrs).drop("disabled")
-    return feed.join(a, "source_table")
+    if not salt_buckets:
+        return feed.join(a, "source_table")
+    n = int(salt_buckets)
+    salted = feed.withColumn("_tm_salt", F.pmod(F.xxhash64(*[F.col(c) for c in feed.columns]), F.lit(n)))
+    spread = a.withColumn("_tm_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
+    return salted.join(spread, ["source_table", "_tm_salt"]).drop("_tm_salt")
 
 
 def validate_attrs(raw: DataFrame) -> DataFrame:
