@@ -247,3 +247,12 @@ def test_loads_ignore_the_replication_column(spark):
                                                                 (3, "b", 30.0, None)]
     from tidemark.sources.catalog import target_schema
     assert [f.name for f in target_schema(spark, tgt).fields] == ["id", "k2", "v"]
+
+
+def test_replace_where_in_place_empties_a_partition(spark, tmp_path):
+    p = str(tmp_path / "parts")
+    tgt = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "b", 3.0)], SCHEMA)
+    tables.publish(tgt, p, partition_by=["k2"])
+    src = spark.createDataFrame([(9, "c", 9.0)], SCHEMA)
+    tables.replace_where_in_place(spark, p, src, "k2 = 'b'", ["k2"])  # deletes all of b, adds nothing there
+    assert rows(spark.read.parquet(p).select("id", "k2", "v")) == [(1, "a", 1.0)]

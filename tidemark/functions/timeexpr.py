@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.schemas import DEFAULT_ZONE
 
-# The text form of an event time, and the report time form.
+# The text form of an event time (its pattern is what text must match).
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TEXT_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"

@@ -125,16 +125,25 @@ def replace_where_in_place(spark: SparkSession, path: str, payload: DataFrame, w
     rows kept by ``coalesce(p, false) = false`` plus matching payload rows) is
     first written to the shared work folder, which cuts the lineage to the
     files about to be replaced, then swapped in by dynamic partition overwrite.
-    Untouched partitions are neither read back nor rewritten.
+    Untouched partitions are neither read back nor rewritten. A partition the
+    load would leave empty cannot be emptied by a dynamic overwrite (it writes
+    no files there), so in that case the whole table is rewritten from the
+    staged copy instead.
     """
     p = F.expr(where)
     target = spark.read.parquet(path)
-    fresh = payload.where(p).select(*target.columns)
-    touched = (target.where(F.coalesce(p, F.lit(False))).select(*partition_by)
-               .unionByName(fresh.select(*partition_by)).distinct())
+    fresh = materialize(payload.where(p).select(*target.columns), "payload")  # one snapshot of the payload
+    touched = materialize(target.where(F.coalesce(p, F.lit(False))).select(*partition_by)
+                          .unionByName(fresh.select(*partition_by)).distinct(), "touched")
     kept = target.join(touched, partition_by, "left_semi").where(~F.coalesce(p, F.lit(False)))
     staged = materialize(kept.unionByName(fresh), "replace_where")
-    return replace_partitions(staged.select(*target.columns), path, partition_by)
+    emptied = touched.join(staged.select(*partition_by).distinct(), partition_by, "left_anti")
+    if emptied.isEmpty():
+        return replace_partitions(staged.select(*target.columns), path, partition_by)
+    untouched = target.join(touched, partition_by, "left_anti")
+    whole = materialize(untouched.unionByName(staged.select(*target.columns)), "replace_where_full")
+    whole.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return path
 
 
 def merge_in_place(spark: SparkSession, path: str, payload: DataFrame, primary_key, partition_by: list[str],
