@@ -256,3 +256,13 @@ def test_replace_where_in_place_empties_a_partition(spark, tmp_path):
     src = spark.createDataFrame([(9, "c", 9.0)], SCHEMA)
     tables.replace_where_in_place(spark, p, src, "k2 = 'b'", ["k2"])  # deletes all of b, adds nothing there
     assert rows(spark.read.parquet(p).select("id", "k2", "v")) == [(1, "a", 1.0)]
+
+
+def test_run_load_full_switch(spark):
+    from tidemark.plans.flows import LoadPlan, run_load
+    tgt = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], SCHEMA)
+    src = spark.createDataFrame([(2, "b", 20.0)], SCHEMA)  # key 1 was deleted at the source
+    keep = run_load(spark, src, tgt, LoadPlan("S.T", "JDBC", primary_key="id"))
+    assert rows(spark.read.parquet(keep.path)) == [(1, "a", 1.0), (2, "b", 20.0)]
+    full = run_load(spark, src, tgt, LoadPlan("S.T", "JDBC", primary_key="id", full=True))
+    assert rows(spark.read.parquet(full.path)) == [(2, "b", 20.0)]

@@ -32,10 +32,20 @@ from tidemark.sources.staged import staged_scan
 
 @dataclass(frozen=True)
 class LoadPlan:
+    """One table's load. ``full``: empty the target first (True), never (False), or as
+    the flow does by default (None: staged loads without a predicate do, direct
+    loads do not, so rows deleted at the source survive a direct keyed load)."""
     source_table: str
     strategy: str
     where_clause: str = ""
     primary_key: str = ""
+    full: bool | None = None
+
+    @property
+    def truncate_first(self) -> bool:
+        if self.full is not None:
+            return self.full
+        return self.strategy == STAGED and not self.where_clause
 
     @property
     def mode(self) -> str:
@@ -75,7 +85,7 @@ def run_load(spark: SparkSession, source: DataFrame, target: DataFrame, plan: Lo
         payload, written = _payload(spark, source, target, plan, dictionary, max_records_per_file)
         mode = plan.mode
         base = target
-        if plan.strategy == STAGED and not plan.where_clause:
+        if plan.truncate_first:
             base = target.limit(0)  # truncate first
             mode = "merge" if plan.primary_key else "overwrite"
         if mode == "merge" and check_keys and not loading.duplicate_keys(payload, plan.primary_key).isEmpty():
