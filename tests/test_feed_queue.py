@@ -181,3 +181,12 @@ def test_salted_enrich_equals_plain_join(spark):
     salted = feedops.enrich(f, a, salt_buckets=8)
     assert sorted(map(tuple, salted.select(*feedops.enrich(f, a).columns).collect())) == plain
     assert len(plain) == 301
+
+
+def test_batch_upsert_parses_local_text_times(spark):
+    queue = spark.createDataFrame([], QUEUE)
+    frame = spark.createDataFrame([("S.A", "JDBC", "2024-01-19 17:00:00"), ("S.B", "JDBC", "2024-01-19T17:00:00Z")],
+                                  "source_table string, strategy string, event_time string")
+    got = {r.source_table: r.event_time for r in
+           qops.queue_batch_upsert(queue, frame, "main", "2024-01-21 00:00:00", local_zone="America/Phoenix").collect()}
+    assert got == {"S.A": dt.datetime(2024, 1, 20, 0, 0), "S.B": dt.datetime(2024, 1, 21, 0, 0)}  # bad text -> as_of

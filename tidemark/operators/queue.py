@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.timeexpr import ntz
+from tidemark.functions.timeexpr import is_valid_text, ntz, parse_local_text
 from tidemark.schemas import (BATCH_ALLOWED, BATCH_REQUIRED, HISTORY_COLUMNS, HISTORY_KEY, QUEUE_COLUMNS,
                               QUEUED, RUNNING, RUNNING_FLAG)
 
@@ -47,12 +48,14 @@ def queue_upsert(queue: DataFrame, records: DataFrame) -> DataFrame:
     return j.select(*cols)
 
 
-def prepare_batch(frame: DataFrame, catalog: str, as_of) -> DataFrame:
+def prepare_batch(frame: DataFrame, catalog: str, as_of, local_zone: str | None = None) -> DataFrame:
     """Check the columns of a batch-enqueue frame and fill defaults.
 
     source_table and strategy are required; only the 8 queue input columns are
     allowed. Missing or null optional values get: target = catalog.source,
     where '', primary key '', event_time = as_of, lock_rows true, priority 1.
+    Text event times are parsed strictly (``yyyy-MM-dd HH:mm:ss``), as local
+    time in ``local_zone`` when given, else as UTC.
     """
     cols = set(frame.columns)
     missing = BATCH_REQUIRED - cols
@@ -63,6 +66,10 @@ def prepare_batch(frame: DataFrame, catalog: str, as_of) -> DataFrame:
         raise ValueError(f"column(s) {sorted(extra)} not allowed; allowed: {sorted(BATCH_ALLOWED)}")
     types = {"target_table": "string", "where_clause": "string", "primary_key": "string",
              "event_time": "timestamp_ntz", "lock_rows": "boolean", "priority": "int"}
+    if "event_time" in cols and isinstance(frame.schema["event_time"].dataType, T.StringType):
+        text = F.col("event_time")
+        frame = frame.withColumn("event_time", parse_local_text(text, local_zone) if local_zone
+                                 else F.when(is_valid_text(text), text.try_cast("timestamp_ntz")))
     for c, t in types.items():
         frame = frame.withColumn(c, F.col(c).cast(t) if c in cols else F.lit(None).cast(t))
     return frame.select(
@@ -78,10 +85,11 @@ def prepare_batch(frame: DataFrame, catalog: str, as_of) -> DataFrame:
     )
 
 
-def queue_batch_upsert(queue: DataFrame, frame: DataFrame, catalog: str, as_of) -> DataFrame:
+def queue_batch_upsert(queue: DataFrame, frame: DataFrame, catalog: str, as_of,
+                       local_zone: str | None = None) -> DataFrame:
     """Batch MERGE on source_table only: matched rows (running ones too) are overwritten
     and become 'Q'; trigger_time and event_time_latest are kept; others inserted."""
-    s = prepare_batch(frame, catalog, as_of)
+    s = prepare_batch(frame, catalog, as_of, local_zone)
     payload = [c for c in s.columns if c != "source_table"]
     t = queue.select(*[F.col(c).alias(f"t_{c}") for c in QUEUE_COLUMNS], F.lit(True).alias("_tm_t"))
     s = s.select(F.col("source_table").alias("s_source_table"), *[F.col(c).alias(f"s_{c}") for c in payload],
