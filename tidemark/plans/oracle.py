@@ -8,6 +8,7 @@ derived control tables are CTEs.
 
 from __future__ import annotations
 
+from tidemark.functions.staleness import TIER_FLOOR, TIER_HIDDEN, TIER_STEPS
 from tidemark.plans.fixtures import RANK_AS_OF, SLOTS
 
 # Derived views (FIXTURES.md section 3), DuckDB dialect, in dependency order.
@@ -132,15 +133,14 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + body.strip()
 
 
-# Staleness tier as SQL text over columns staleness_m, min_staleness, max_staleness.
-TIER_SQL = """CAST(CASE WHEN staleness_m < min_staleness THEN 0
-     WHEN max_staleness - staleness_m > 60 THEN 1 WHEN max_staleness - staleness_m > 45 THEN 2
-     WHEN max_staleness - staleness_m > 30 THEN 3 WHEN max_staleness - staleness_m > 15 THEN 4
-     WHEN max_staleness - staleness_m > 10 THEN 5 WHEN max_staleness - staleness_m > 5 THEN 6
-     WHEN max_staleness - staleness_m > 3 THEN 7 WHEN max_staleness - staleness_m > 2 THEN 8
-     WHEN max_staleness - staleness_m > 1 THEN 9 WHEN max_staleness - staleness_m > 0 THEN 10
-     WHEN max_staleness - staleness_m > -5 THEN 15 WHEN max_staleness - staleness_m > -10 THEN 20
-     ELSE 25 END AS INTEGER)"""
+def _tier_sql() -> str:
+    """The tier weight as a SQL CASE over staleness_m, min_staleness, max_staleness,
+    built from the one table of fixed thresholds."""
+    steps = " ".join(f"WHEN max_staleness - staleness_m > {lim} THEN {w}" for lim, w in TIER_STEPS)
+    return f"CAST(CASE WHEN staleness_m < min_staleness THEN {TIER_HIDDEN} {steps} ELSE {TIER_FLOOR} END AS INTEGER)"
+
+
+TIER_SQL = _tier_sql()
 
 
 def staleness_sql(as_of: str) -> str:
