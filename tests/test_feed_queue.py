@@ -190,3 +190,14 @@ def test_batch_upsert_parses_local_text_times(spark):
     got = {r.source_table: r.event_time for r in
            qops.queue_batch_upsert(queue, frame, "main", "2024-01-21 00:00:00", local_zone="America/Phoenix").collect()}
     assert got == {"S.A": dt.datetime(2024, 1, 20, 0, 0), "S.B": dt.datetime(2024, 1, 21, 0, 0)}  # bad text -> as_of
+
+
+def test_stream_first_start_skips_through_the_mark(spark, tmp_path):
+    from tidemark.schemas import FEED
+    from tidemark.streaming.enqueue import read_version, start_enqueue
+    feed_dir, root, ckpt = str(tmp_path / "feed"), str(tmp_path / "queue"), str(tmp_path / "ckpt")
+    feed(spark, [("S.A", T0), ("S.B", T0 + dt.timedelta(hours=2))]).write.parquet(feed_dir)
+    a = attrs(spark, [(s, None, "s", None, None, "JDBC", False, 1, 0, 60) for s in ("S.A", "S.B")])
+    start_enqueue(spark, feed_dir, FEED, a, "main", root, ckpt, initial_queue=spark.createDataFrame([], QUEUE),
+                  skip_through=T0 + dt.timedelta(hours=1)).awaitTermination()
+    assert [r.source_table for r in read_version(spark, root).collect()] == ["S.B"]

@@ -104,14 +104,21 @@ def read_metrics(spark: SparkSession, queue_root: str) -> DataFrame:
 def start_enqueue(spark: SparkSession, feed_dir: str, feed_schema: T.StructType, attrs: DataFrame,
                   catalog: str, queue_root: str, checkpoint: str, *, initial_queue: DataFrame | None = None,
                   files_per_batch: int | None = None, available_now: bool = True,
-                  interval: str = "60 seconds"):
-    """Start the enqueue stream. ``initial_queue`` seeds version -1 when nothing is published yet."""
+                  interval: str = "60 seconds", skip_through=None):
+    """Start the enqueue stream. ``initial_queue`` seeds version -1 when nothing is published yet.
+
+    ``skip_through`` (an instant, e.g. ``cycle.resume_mark`` on a first start over
+    an existing feed folder) drops feed rows at or below it, like the
+    reference's ``> mark`` filter; after that the checkpoint tracks progress.
+    """
     if initial_queue is not None and latest_version(spark, queue_root) is None:
         publish_version(initial_queue, queue_root, INITIAL_VERSION)
     reader = spark.readStream.schema(feed_schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     feed = reader.parquet(feed_dir).select("source_table", "event_time")
+    if skip_through is not None:
+        feed = feed.where(F.col("event_time") > ntz(skip_through))
     writer = (feed.writeStream.foreachBatch(QueueEnqueueBatch(attrs, catalog, queue_root))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
