@@ -201,3 +201,17 @@ def test_stream_first_start_skips_through_the_mark(spark, tmp_path):
     start_enqueue(spark, feed_dir, FEED, a, "main", root, ckpt, initial_queue=spark.createDataFrame([], QUEUE),
                   skip_through=T0 + dt.timedelta(hours=1)).awaitTermination()
     assert [r.source_table for r in read_version(spark, root).collect()] == ["S.B"]
+
+
+def test_attr_lines_arity_and_text_fields(spark):
+    lines = spark.createDataFrame([
+        ("SRC.A,,snapshot,,id,JDBC,false,2,,120",),
+        ("SRC.B,LAKE.SRC.B,cdc,upd_ts,,WriteNOS,TRUE,1,30,600",),
+        ("SRC.C,,snapshot,,,JDBC,false",),
+        ("SRC.D,,snapshot,,,JDBC,false,x,0,60",),
+    ], "value string")
+    out = {r.source_table: r for r in feedops.validate_attrs(feedops.attrs_from_lines(lines)).collect()}
+    assert out["SRC.A"].valid and out["SRC.A"].target_table == "SRC.A" and out["SRC.A"].min_staleness == 0
+    assert out["SRC.B"].valid and out["SRC.B"].disabled is True and out["SRC.B"].priority == 1
+    assert "10 fields" in out["SRC.C"].reject_reason
+    assert "priority" in out["SRC.D"].reject_reason

@@ -58,6 +58,22 @@ def enrich(feed: DataFrame, attrs: DataFrame, salt_buckets: int | None = None) -
     return salted.join(spread, ["source_table", "_tm_salt"]).drop("_tm_salt")
 
 
+ATTR_FIELDS = ["source_table", "target_table", "ingestion_strategy", "cdc_watermark", "primary_key",
+               "strategy", "disabled", "priority", "min_staleness", "max_staleness"]
+
+
+def attrs_from_lines(lines: DataFrame, column: str = "value", sep: str = ",") -> DataFrame:
+    """Attribute rows from delimited text lines (e.g. ``spark.read.text``), all fields as text.
+
+    Empty fields become null; ``_tm_fields`` keeps the field count so that
+    ``validate_attrs`` can reject lines with the wrong number of fields.
+    """
+    parts = F.split(F.col(column), sep, -1)
+    cols = [empty_to_null(F.trim(F.try_element_at(parts, F.lit(i + 1)))).alias(name)
+            for i, name in enumerate(ATTR_FIELDS)]
+    return lines.select(*cols, F.size(parts).alias("_tm_fields"))
+
+
 def validate_attrs(raw: DataFrame) -> DataFrame:
     """Typed attribute rows plus ``valid`` and ``reject_reason`` (null when valid).
 
@@ -75,23 +91,27 @@ def validate_attrs(raw: DataFrame) -> DataFrame:
         disabled = parse_flag(F.col("disabled"))
         disabled_ok = disabled.isNotNull()
     priority = F.col("priority").try_cast("int")
+    min_st, max_st = F.col("min_staleness").try_cast("int"), F.col("max_staleness").try_cast("int")
     dups = raw.groupBy("source_table").agg(F.count(F.lit(1)).alias("_tm_copies"))
     j = raw.join(dups, "source_table", "left")
-    reasons = F.concat_ws("; ",
+    arity = (F.when(F.col("_tm_fields") != len(ATTR_FIELDS), F.lit(f"line must have {len(ATTR_FIELDS)} fields"))
+             if "_tm_fields" in raw.columns else F.lit(None).cast("string"))
+    reasons = F.concat_ws("; ", arity,
         F.when(~name_parts(src).isin(2, 3), F.lit("source_table must have 2 or 3 name parts")),
         F.when(~name_parts(tgt).isin(2, 3), F.lit("target_table must have 2 or 3 name parts")),
         F.when(~F.coalesce(F.col("strategy").isin(*STRATEGIES), F.lit(False)),
                F.lit("strategy must be TPT, WriteNOS or JDBC")),
         F.when(~disabled_ok, F.lit("disabled must be true or false")),
         F.when(priority.isNull(), F.lit("priority is required")),
-        F.when(F.col("max_staleness").isNull(), F.lit("max_staleness is required")),
+        F.when(max_st.isNull(), F.lit("max_staleness is required")),
+        F.when(F.col("min_staleness").isNotNull() & min_st.isNull(), F.lit("min_staleness must be a number")),
         F.when(F.col("_tm_copies") > 1, F.lit("duplicate source_table")),
     )
     return j.select(
         src.alias("source_table"), tgt.alias("target_table"), "ingestion_strategy", "cdc_watermark",
         "primary_key", "strategy", disabled.alias("disabled"), priority.alias("priority"),
-        F.coalesce(F.col("min_staleness").cast("int"), F.lit(0)).alias("min_staleness"),
-        F.col("max_staleness").cast("int").alias("max_staleness"),
+        F.coalesce(min_st, F.lit(0)).alias("min_staleness"),
+        max_st.alias("max_staleness"),
         (reasons == "").alias("valid"), empty_to_null(reasons).alias("reject_reason"),
     )
 
