@@ -215,3 +215,11 @@ def test_attr_lines_arity_and_text_fields(spark):
     assert out["SRC.B"].valid and out["SRC.B"].disabled is True and out["SRC.B"].priority == 1
     assert "10 fields" in out["SRC.C"].reject_reason
     assert "priority" in out["SRC.D"].reject_reason
+
+
+def test_quotes_in_values_are_kept(spark):
+    queue = spark.createDataFrame([], QUEUE)
+    f = feed(spark, [("S.A", T0)])
+    a = attrs(spark, [("S.A", "C.S.A", "s", None, "id", "Write'NOS", False, 1, 0, 60)])
+    out = qops.queue_upsert(queue, feedops.enqueue_from_feed(f, a, "main")).first()
+    assert out.strategy == "Write'NOS"
