@@ -223,3 +223,14 @@ def test_quotes_in_values_are_kept(spark):
     a = attrs(spark, [("S.A", "C.S.A", "s", None, "id", "Write'NOS", False, 1, 0, 60)])
     out = qops.queue_upsert(queue, feedops.enqueue_from_feed(f, a, "main")).first()
     assert out.strategy == "Write'NOS"
+
+
+def test_enqueue_records_take_the_cdc_plan(spark):
+    f = feed(spark, [("S.A", T0), ("S.B", T0)])
+    a = attrs(spark, [("S.A", None, "cdc", "upd", None, "WriteNOS", False, 1, 0, 60),
+                      ("S.B", None, "snapshot", None, None, "WriteNOS", False, 1, 0, 60)])
+    plan = spark.createDataFrame([("S.A", "JDBC", "upd >= '2024-01-01 00:00:00'")],
+                                 "source_table string, strategy string, where_clause string")
+    recs = {r.source_table: r for r in feedops.enqueue_from_feed(f, a, "main", plan).collect()}
+    assert (recs["S.A"].strategy, recs["S.A"].where_clause) == ("JDBC", "upd >= '2024-01-01 00:00:00'")
+    assert (recs["S.B"].strategy, recs["S.B"].where_clause) == ("WriteNOS", "")
