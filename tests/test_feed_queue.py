@@ -234,3 +234,9 @@ def test_enqueue_records_take_the_cdc_plan(spark):
     recs = {r.source_table: r for r in feedops.enqueue_from_feed(f, a, "main", plan).collect()}
     assert (recs["S.A"].strategy, recs["S.A"].where_clause) == ("JDBC", "upd >= '2024-01-01 00:00:00'")
     assert (recs["S.B"].strategy, recs["S.B"].where_clause) == ("WriteNOS", "")
+
+
+def test_missing_queue_has_length_zero(spark, tmp_path):
+    from tidemark.sinks.tables import read_or_empty
+    q = read_or_empty(spark, str(tmp_path / "nope"), QUEUE)
+    assert qops.queue_length(q).first().queued == 0

@@ -63,6 +63,15 @@ def _shape(schema: StructType) -> list[tuple[str, str]]:
     return [(f.name.lower(), f.dataType.simpleString()) for f in schema.fields]
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table at ``path``, or an empty table of ``schema`` when none exists yet
+    (a missing queue has length 0, an absent history has no rows)."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> bool:
     """Create an empty control table (queue, history) unless one exists; True when created.
 
