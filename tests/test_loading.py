@@ -266,3 +266,13 @@ def test_run_load_full_switch(spark):
     assert rows(spark.read.parquet(keep.path)) == [(1, "a", 1.0), (2, "b", 20.0)]
     full = run_load(spark, src, tgt, LoadPlan("S.T", "JDBC", primary_key="id", full=True))
     assert rows(spark.read.parquet(full.path)) == [(2, "b", 20.0)]
+
+
+def test_point_view_switches_readers(spark):
+    v1 = tables.publish(spark.createDataFrame([(1, "a", 1.0)], SCHEMA), name="t")
+    v2 = tables.publish(spark.createDataFrame([(2, "b", 2.0)], SCHEMA), name="t")
+    tables.point_view(spark, "tm_target", v1)
+    assert [r.id for r in spark.table("tm_target").collect()] == [1]
+    tables.point_view(spark, "tm_target", v2)
+    assert [r.id for r in spark.table("tm_target").collect()] == [2]
+    assert [r.id for r in spark.read.parquet(v1).collect()] == [1]  # the old version is untouched
