@@ -54,3 +54,20 @@ def test_global_rank_broadcasts_only_partition_offsets(spark):
     df = spark.range(1000).select((F.col("id") % 13).alias("p"), F.col("id").alias("k"))
     p = plan(ranking.global_row_number(df, [F.col("p").desc(), F.col("k")], num_partitions=4), "simple")
     assert "BroadcastHashJoin" in p and "rangepartitioning" not in p  # placement already materialized
+
+
+def test_merge_into_bucketed_target_does_not_shuffle_the_target(spark):
+    from tidemark.sinks import tables
+    tgt = spark.range(2000).select(F.col("id"), (F.col("id") % 7).alias("v"))
+    tables.publish_bucketed(tgt, "tm_bucketed_target", ["id"], 8)
+    payload = spark.range(1990, 2010).select(F.col("id"), F.lit(99).cast("bigint").alias("v"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle join a large payload gets
+    try:
+        merged = loading.merge_pk(spark.table("tm_bucketed_target"), payload, "id")
+        p = plan(merged, "simple")
+        got = {r.id: r.v for r in merged.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in p and p.count("Exchange hashpartitioning") == 1  # payload keys only
+    assert len(got) == 2010 and got[1995] == 99 and got[5] == 5

@@ -50,6 +50,20 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def publish_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None) -> str:
+    """Publish a table version bucketed (and sorted) by its primary key.
+
+    Later merges into it join on the key without shuffling the target: only
+    the payload's keys are hash-partitioned into the same buckets. The files go
+    to ``path`` (default: a new folder in the shared work folder), the name to
+    the session catalog.
+    """
+    path = path or work_path(df.sparkSession, "bucketed")
+    (df.write.mode("overwrite").format("parquet").option("path", path)
+       .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+    return table
+
+
 def append(df: DataFrame, path: str, *, expect_schema: StructType | None = None) -> str:
     """Bulk append (forced reload, no schema merge): the payload schema must equal the table's."""
     if expect_schema is not None and _shape(df.schema) != _shape(expect_schema):
