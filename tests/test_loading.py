@@ -276,3 +276,14 @@ def test_point_view_switches_readers(spark):
     tables.point_view(spark, "tm_target", v2)
     assert [r.id for r in spark.table("tm_target").collect()] == [2]
     assert [r.id for r in spark.read.parquet(v1).collect()] == [1]  # the old version is untouched
+
+
+def test_run_load_publishes_bucketed_target(spark):
+    from tidemark.plans.flows import LoadPlan, run_load
+    tgt = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], SCHEMA)
+    src = spark.createDataFrame([(2, "b", 20.0), (3, "b", 30.0)], SCHEMA)
+    res = run_load(spark, src, tgt, LoadPlan("S.T", "JDBC", primary_key="id"), bucket=("tm_flow_bucketed", 4),
+                   validate=True)
+    assert res.report.first().status == "SUCCESS" and res.check.first().ok
+    assert rows(spark.table("tm_flow_bucketed")) == [(1, "a", 1.0), (2, "b", 20.0), (3, "b", 30.0)]
+    assert rows(spark.read.parquet(res.path)) == rows(spark.table("tm_flow_bucketed"))

@@ -77,8 +77,12 @@ def _payload(spark: SparkSession, source: DataFrame, target: DataFrame, plan: Lo
 
 def run_load(spark: SparkSession, source: DataFrame, target: DataFrame, plan: LoadPlan, *,
              dictionary=None, max_records_per_file: int | None = None, validate: bool = False,
-             check_keys: bool = True) -> LoadResult:
-    """Load one table and publish the next target version; never raises for load errors."""
+             check_keys: bool = True, bucket: tuple[str, int] | None = None) -> LoadResult:
+    """Load one table and publish the next target version; never raises for load errors.
+
+    ``bucket=(table_name, buckets)`` publishes a keyed target bucketed by its
+    primary key under that catalog name, so the next merge does not shuffle it.
+    """
     start = time.time()
     status, error, path, n, check = SUCCESS, "", None, 0, None
     try:
@@ -92,8 +96,13 @@ def run_load(spark: SparkSession, source: DataFrame, target: DataFrame, plan: Lo
             raise ValueError(f"payload of {plan.source_table} has duplicate keys for {plan.primary_key}")
         nxt = loading.apply_load(mode, base, payload, {"where_clause": plan.where_clause,
                                                        "primary_key": plan.primary_key})
-        path = tables.publish(nxt, name="loads")
-        after = spark.read.parquet(path)
+        if bucket and plan.primary_key:
+            path = tables.work_path(spark, "loads")
+            tables.publish_bucketed(nxt, bucket[0], loading.key_columns(plan.primary_key), bucket[1], path)
+            after = spark.table(bucket[0])
+        else:
+            path = tables.publish(nxt, name="loads")
+            after = spark.read.parquet(path)
         n = written if written is not None else payload.count()
         if validate:
             check = count_reconcile(mode, payload, base, after, where=plan.where_clause or None,
