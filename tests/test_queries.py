@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans import registry
 from tests.conftest import SF_SMALL
 
 TABLES = ["customer", "orders", "events", "lineitem"]
@@ -43,7 +44,7 @@ def test_entry(spark):
     assert "rank" in df.columns and df.count() >= 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
