@@ -61,7 +61,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", ["priority_rank", "staleness_tiers", "event_time_format", "event_time_parse",
