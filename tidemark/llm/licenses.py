@@ -2,11 +2,11 @@
 
 A text is normalised (lower case, anything but letters and digits becomes a
 space) and taken apart into units: the whole text, its paragraphs and its
-lines. A unit can only reach the threshold with a template whose number of
-bigrams lies within the bounds that the Dice coefficient sets, so units outside
-all bounds are dropped before their bigrams are formed, and pairs outside them
-before they are counted. Shared bigrams are found through an inverted index of
-the templates and counted per unit and template.
+lines. The Dice coefficient of two bags of bigrams can only reach the threshold
+if their sizes lie within a factor of each other, so units whose size fits no
+template are dropped before their bigrams are formed, and templates outside a
+unit's bounds before anything is counted. Shared bigrams are found through an
+inverted index of the templates.
 """
 
 from __future__ import annotations
@@ -62,14 +62,10 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), NOT_WORD, " ")
 
 
-def words(unit: Column) -> Column:
-    return F.filter(F.split(unit, r"[ \n]+"), lambda w: w != "")
-
-
-def bigrams(ws: str) -> Column:
-    """Distinct word bigrams of an array column; none of fewer than two words."""
-    return F.expr(f"array_distinct(zip_with(slice({ws}, 1, greatest(size({ws}) - 1, 0)), "
-                  f"slice({ws}, 2, greatest(size({ws}) - 1, 0)), (a, b) -> concat(a, ' ', b)))")
+def bigrams(ws: Column) -> Column:
+    """Word bigrams of an array column; none of fewer than two words."""
+    n = F.greatest(F.size(ws) - 1, F.lit(0))
+    return F.zip_with(F.slice(ws, F.lit(1), n), F.slice(ws, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
 def once(value: Column) -> Column:
@@ -78,51 +74,81 @@ def once(value: Column) -> Column:
 
 
 def scan(df: DataFrame, templates: DataFrame, *, id_col: str = "doc_id", text: str = "text",
-         threshold: float = THRESHOLD) -> DataFrame:
+         threshold: float = THRESHOLD, index_limit: int = 500_000) -> DataFrame:
     """Licence notices found: one row per document, unit and licence.
 
     Returns ``doc_id``, ``unit`` (text, paragraph or line), ``place`` (from 0,
     in the document, for paragraphs and lines), ``license`` and ``dice``: twice
-    the shared distinct word bigrams over the sum of both sides', for the
-    licence's best template, where it is at least ``threshold`` (over 0).
-    A text of one line is one unit ``line``; a text of one paragraph has no unit
-    ``paragraph``.
+    the shared word bigrams (repeats counted) over the sum of both sides', for
+    the licence's best template, where it is at least ``threshold`` (over 0).
+    A text of one line is one unit ``line``; paragraphs are only looked at where
+    a blank line parts them.
 
     Null and empty texts, and units of fewer than two words, match nothing; nor
     do templates of fewer than two words or with a null body. Repeated rows are
     scanned each and give repeated results; a null id stays null. Other columns
     are ignored. Empty tables: no rows. ``templates`` has ``template``,
-    ``license`` and ``body``.
+    ``license`` and ``body``; their sizes are read by the driver (a pair of bounds
+    per distinct size). Their bigrams are the index that units are joined with,
+    broadcast if there are at most ``index_limit`` of them.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be over 0 and at most 1")
-    least, most = threshold / (2 - threshold), (2 - threshold) / threshold
-    t = (templates.where("body is not null").withColumn("__w", words(normalised(F.col("body")))).where("size(__w) >= 2")
-         .select("template", "license", bigrams("__w").alias("grams")).withColumn("n_t", F.size("grams")))
-    index = t.select("template", "license", "n_t", F.explode("grams").alias("gram"))
-    # Dice >= threshold needs n within [n_t * least, n_t * most]; distinct bigrams are at most words - 1
-    reach = t.agg(F.min(F.floor(F.col("n_t") * least)).alias("low"), F.max(F.ceil(F.col("n_t") * most)).alias("high")).first()
-    low, high = (reach["low"] or 0, reach["high"] or 0)
+    least = threshold / (2 - threshold)
+    flat = F.trim(F.translate(normalised(F.col("body")), "\n", " "))
+    t = (templates.where("body is not null")
+         .select("template", "license", bigrams(F.filter(F.split(flat, " "), lambda w: w != "")).alias("grams"))
+         .where("size(grams) > 0").withColumn("n_t", F.size("grams")))
+    index = (t.select("template", "license", "n_t", F.explode("grams").alias("gram"))
+             .groupBy("template", "license", "n_t", "gram").agg(F.count("*").alias("c_t")))
+    counts = t.groupBy("n_t").agg(F.count("*").alias("k")).collect()
+    sizes = [r["n_t"] for r in counts]
+    if sum(r["n_t"] * r["k"] for r in counts) <= index_limit:
+        index = F.broadcast(index)
+
+    def fits(n: Column) -> Column:  # some template is within reach of n bigrams
+        ok = F.lit(False)
+        for low, high in _merged([(s * least, s / least) for s in sizes]):
+            ok = ok | n.between(low - 1e-9, high + 1e-9)
+        return ok
 
     docs = (df.where(F.col(text).isNotNull()).withColumn("__row", F.monotonically_increasing_id())
             .select("__row", F.col(id_col).alias("doc_id"), once(normalised(F.col(text))).alias("norm"))
             .withColumnRenamed("__row", "row"))
-    unit = "struct('{0}' as unit, cast({1} as int) as place, {2} as body)"
-    many = "transform({0}, (x, i) -> " + unit.format("{1}", "i", "x") + ")"
-    parted = docs.select("row", "doc_id", "norm", F.split("norm", "\n").alias("lines"),
-                         once(F.split("norm", "\n[ \n]*\n")).alias("paragraphs"))
-    units = parted.select("row", "doc_id", F.explode(F.expr(
-        f"concat({many.format('lines', 'line')}, if(size(paragraphs) > 1, {many.format('paragraphs', 'paragraph')}, array()), "
-        f"if(norm like '%\n%', array({unit.format('text', '0', 'norm')}), array()))")).alias("u"))
-    # distinct bigrams are fewer than the words
-    grams = (units.select("row", "doc_id", "u.unit", "u.place", once(words(F.col("u.body"))).alias("ws"))
-             .where(F.size("ws") > max(1, int(low)))
-             .select("row", "doc_id", "unit", "place", once(bigrams("ws")).alias("grams"))
-             .withColumn("n", F.size("grams")).where((F.col("n") >= low) & (F.col("n") <= high)))
-    shared = (grams.select("row", "doc_id", "unit", "place", "n", F.explode("grams").alias("gram"))
+
+    def sized(units: str, kind: str) -> str:  # words are parted by single spaces here
+        return (f"transform({units}, (x, i) -> struct('{kind}' as unit, cast(i as int) as place, trim(x) as body, "
+                f"length(trim(x)) - length(replace(x, ' ', '')) as n))")
+
+    paragraphs = "transform(split(norm, '\\n[ \\n]*\\n'), x -> regexp_replace(x, '[ \\n]+', ' '))"
+    lines = docs.select("row", "doc_id", "norm", once(F.expr(sized("split(norm, '\\n')", "line"))).alias("lines"))
+    # a text has as many words as its lines; it is only joined to one unit if their number fits
+    total = F.expr("aggregate(lines, -1, (s, x) -> s + if(x.body = '', 0, cast(x.n as int) + 1))")
+    whole = F.when((F.size("lines") > 1) & fits(F.col("total")), F.expr(sized(
+        "array(regexp_replace(norm, '[ \\n]+', ' '))", "text")))
+    parts = F.when(F.col("norm").rlike("\\n *\\n"), F.expr(sized(paragraphs, "paragraph")))
+    units = (lines.select("row", "doc_id", "norm", "lines", once(total).alias("total"))
+             .select("row", "doc_id", F.explode(F.concat("lines", F.coalesce(parts, F.expr("slice(lines, 1, 0)")),
+                                                         F.coalesce(whole, F.expr("slice(lines, 1, 0)")))).alias("u"))
+             .select("row", "doc_id", "u.unit", "u.place", "u.n", "u.body").where((F.col("n") > 0) & fits(F.col("n"))))
+    shared = (units.select("row", "doc_id", "unit", "place", "n", once(F.split("body", " ")).alias("ws"))
+              .select("row", "doc_id", "unit", "place", "n", F.explode(bigrams(F.col("ws"))).alias("gram"))
               .join(index, "gram")
-              .where((F.col("n") >= F.col("n_t") * least - 1e-9) & (F.col("n") <= F.col("n_t") * most + 1e-9))
-              .groupBy("row", "doc_id", "unit", "place", "license", "template", "n", "n_t").agg(F.count("*").alias("both")))
+              .where((F.col("n") >= F.col("n_t") * least - 1e-9) & (F.col("n") <= F.col("n_t") / least + 1e-9))
+              .groupBy("row", "doc_id", "unit", "place", "license", "template", "n", "n_t", "gram", "c_t")
+              .agg(F.count("*").alias("c"))
+              .groupBy("row", "doc_id", "unit", "place", "license", "template", "n", "n_t")
+              .agg(F.sum(F.least("c", "c_t")).alias("both")))
     return (shared.withColumn("dice", 2 * F.col("both") / (F.col("n") + F.col("n_t")))
             .where(F.col("dice") >= threshold)
             .groupBy("row", "doc_id", "unit", "place", "license").agg(F.max("dice").alias("dice")).drop("row"))
+
+
+def _merged(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(spans):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out

@@ -196,20 +196,17 @@ units AS (
   UNION ALL SELECT row, doc_id, 'paragraph', i - 1, paragraphs[i] FROM cut, range(1, len(paragraphs) + 1) r(i)
   WHERE len(paragraphs) > 1
   UNION ALL SELECT row, doc_id, 'text', 0, norm FROM cut WHERE len(lines) > 1),
--- only units with a word pair of some template are worth taking apart
 worded AS (SELECT *, list_filter(string_split_regex(body, '[ \\n]+'), lambda w: w <> '') AS w FROM units),
 grams AS (
-  SELECT row, doc_id, unit, place, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g
-  FROM worded WHERE len(w) >= 2),
+  SELECT row, doc_id, unit, place, len(w) - 1 AS n, g, count(*) AS c
+  FROM (SELECT *, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM worded) GROUP BY ALL),
 tw AS (SELECT template, license,
               list_filter(string_split_regex({_NORM.format("body")}, '[ \\n]+'), lambda w: w <> '') AS w FROM templates),
-tg AS (SELECT template, license, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM tw
-       WHERE len(w) >= 2)
+tg AS (SELECT template, license, len(w) - 1 AS n, g, count(*) AS c
+       FROM (SELECT *, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM tw) GROUP BY ALL)
 SELECT doc_id, unit, place::INT AS place, license, max(dice) AS dice FROM (
-  SELECT row, doc_id, unit, place, license,
-         2 * len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g))::DOUBLE AS dice
-  FROM grams a JOIN tg b ON len(a.g) BETWEEN len(b.g) * {licenses.THRESHOLD} / (2 - {licenses.THRESHOLD}) - 1
-                        AND len(b.g) * (2 - {licenses.THRESHOLD}) / {licenses.THRESHOLD} + 1) AS pairs
+  SELECT a.row, a.doc_id, a.unit, a.place, b.license, 2 * sum(least(a.c, b.c)) / (a.n + b.n)::DOUBLE AS dice
+  FROM grams a JOIN tg b ON a.g = b.g GROUP BY a.row, a.doc_id, a.unit, a.place, b.template, b.license, a.n, b.n) AS pairs
 WHERE dice >= {licenses.THRESHOLD}
 GROUP BY row, doc_id, unit, place, license"""
 
