@@ -60,10 +60,8 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> bytes:
     """A model of the labelled documents that are not held out; the sample is bounded by ``toxicity.train``."""
-    labels = (_table(spark, sf_dir, "labels").where("toxic is not null")
-              .where(~toxicity.held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("label")))
-    labelled = docs.select("doc_id", "text").join(labels, "doc_id")
-    return toxicity.train(labelled.withColumnRenamed("doc_id", "key"))
+    labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    return toxicity.train(docs, labels)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

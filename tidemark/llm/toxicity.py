@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import without
+from tidemark.sinks.tables import materialize
 
 LETTERS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))  # other ASCII becomes a space
 PAD = b"\n" * 12  # the match finder leaves the last bytes of its input alone; the same for both dictionaries
@@ -159,21 +160,31 @@ def fit(texts: list[str | None], labels: list[int], weights: list[float], folds:
     return {"toxic": toxic, "ordinary": ordinary, "mean": mean, "spread": spread, "w": w}
 
 
-def train(labelled: DataFrame, *, text: str = "text", label: str = "label", key: str = "key",
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
           per_class: int = 3000) -> bytes:
     """A model fitted in one task on at most ``per_class`` labelled texts of each class.
 
-    The sample is the rows of least crc32 of ``key``, a fixed draw. Rows with a
-    null label are ignored; null texts count as empty. Without any labelled rows
-    the model calls everything ordinary.
+    The sample is drawn from the labels (those of documents there are): the ids
+    of least crc32, a fixed draw. Only then are its texts fetched, so no other
+    text is shuffled. Null ids and labels other than 0 and 1 are ignored; of
+    several labels for an id the largest counts, of several texts the first in
+    order; null texts count as empty. Without labelled documents the model calls
+    everything ordinary.
     """
-    rows = labelled.where(F.col(label).isin(0, 1)).select(
-        F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.col(key).cast("string").alias("key"))
+    ids = docs.select(F.col(id_col).alias("key")).where("key is not null").distinct()
+    rows = (labels.where(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("key"))
+            .agg(F.max(F.col(label).cast("int")).alias("label")).join(ids, "key", "left_semi"))
+    rows = materialize(rows, "toxicity")
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    taken = None
+    drawn = None
     for c in (0, 1):
-        part = rows.where(F.col("label") == c).orderBy(F.crc32(F.encode("key", "UTF-8")), "key", "text").limit(per_class)
-        taken = part if taken is None else taken.unionByName(part)
+        part = rows.where(F.col("label") == c).orderBy(F.crc32(F.encode(F.col("key").cast("string"), "UTF-8")),
+                                                       "key").limit(per_class)
+        drawn = part if drawn is None else drawn.unionByName(part)
+    taken = (docs.select(F.col(id_col).alias("key"), F.col(text).alias("text"))
+             .join(F.broadcast(drawn), "key")  # at most twice per_class ids
+             .groupBy("key", "label").agg(F.min("text").alias("text"))
+             .withColumn("key", F.col("key").cast("string")))
     share = {c: n / min(n, per_class) for c, n in counts.items()}
 
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
