@@ -185,11 +185,25 @@ def test_salted_enrich_equals_plain_join(spark):
 
 def test_batch_upsert_parses_local_text_times(spark):
     queue = spark.createDataFrame([], QUEUE)
-    frame = spark.createDataFrame([("S.A", "JDBC", "2024-01-19 17:00:00"), ("S.B", "JDBC", "2024-01-19T17:00:00Z")],
-                                  "source_table string, strategy string, event_time string")
+    kind = "source_table string, strategy string, event_time string"
+    frame = spark.createDataFrame([("S.A", "JDBC", "2024-01-19 17:00:00"), ("S.B", "JDBC", None)], kind)
     got = {r.source_table: r.event_time for r in
            qops.queue_batch_upsert(queue, frame, "main", "2024-01-21 00:00:00", local_zone="America/Phoenix").collect()}
-    assert got == {"S.A": dt.datetime(2024, 1, 20, 0, 0), "S.B": dt.datetime(2024, 1, 21, 0, 0)}  # bad text -> as_of
+    assert got == {"S.A": dt.datetime(2024, 1, 20, 0, 0), "S.B": dt.datetime(2024, 1, 21, 0, 0)}  # no time -> as_of
+    bad = spark.createDataFrame([("S.B", "JDBC", "2024-01-19T17:00:00Z")], kind)
+    with pytest.raises(Exception, match="not an event time"):
+        qops.queue_batch_upsert(queue, bad, "main", "2024-01-21 00:00:00", local_zone="America/Phoenix").collect()
+    twice = spark.createDataFrame([("S.A", "JDBC", None), ("S.A", "JDBC", None)], kind)
+    with pytest.raises(ValueError, match="more than once"):
+        qops.queue_batch_upsert(queue, twice, "main", "2024-01-21 00:00:00")
+
+
+def test_late_record_does_not_move_the_latest_time_back(spark):
+    day = dt.datetime(2024, 1, 20)
+    row = ("S.A", "S.A", "", "", day, None, "JDBC", True, "Q", 1, day + dt.timedelta(hours=5))
+    late = ("S.A", "S.A", "", "", day - dt.timedelta(days=1), None, "JDBC", True, "Q", 2, None)
+    got = qops.queue_upsert(spark.createDataFrame([row], QUEUE), spark.createDataFrame([late], QUEUE)).collect()
+    assert [(r.priority, r.event_time_latest) for r in got] == [(2, day + dt.timedelta(hours=5))]
 
 
 def test_stream_first_start_skips_through_the_mark(spark, tmp_path):

@@ -242,7 +242,7 @@ def test_loads_ignore_the_replication_column(spark):
     tgt = spark.createDataFrame([(1, "a", 1.0, 7), (2, "b", 2.0, 7)],
                                 SCHEMA + ", REPLICATE_IO_METADATA_VERSION int")
     src = spark.createDataFrame([(2, "b", 20.0), (3, "b", 30.0)], SCHEMA)
-    assert rows(loading.merge_pk(tgt, src, "id")) == [(1, "a", 1.0, 7), (2, "b", 20.0, None), (3, "b", 30.0, None)]
+    assert rows(loading.merge_pk(tgt, src, "id")) == [(1, "a", 1.0, 7), (2, "b", 20.0, 7), (3, "b", 30.0, None)]
     assert rows(loading.replace_where(tgt, src, "k2 = 'b'")) == [(1, "a", 1.0, 7), (2, "b", 20.0, None),
                                                                 (3, "b", 30.0, None)]
     from tidemark.sources.catalog import target_schema

@@ -73,11 +73,17 @@ def merge_pk(target: DataFrame, source: DataFrame, primary_key: str | Sequence[s
     null-key target rows are kept and null-key payload rows inserted; null keys
     are dropped from the key side, and a target partition crowded with null
     keys is split by AQE's skew-join handling of the anti join's left side.
-    Duplicate payload keys are the caller's to reject (``duplicate_keys``).
+    Columns of the target that the payload does not carry keep their value in
+    matched rows (the payload's keys are joined with them then) and are null in
+    inserted ones. Duplicate payload keys are the caller's to reject
+    (``duplicate_keys``).
     """
     keys = key_columns(primary_key)
     payload = typed_projection(source, payload_schema(target))
     s_keys = payload.where(~_any_null(keys)).select(*keys)
+    extra = [c for c in target.columns if c not in payload.columns]
+    if extra:
+        payload = payload.join(target.select(*keys, *extra), keys, "left")
     return target.join(s_keys, keys, "left_anti").unionByName(payload, allowMissingColumns=True)
 
 

@@ -1,8 +1,6 @@
 """Queue and history state transitions as pure DataFrame functions.
 
 Each function returns the next state of a control table; a sink publishes it.
-Inputs that come from claims are bounded by the number of worker slots, which
-is what makes broadcasting them safe.
 """
 
 from __future__ import annotations
@@ -12,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.timeexpr import is_valid_text, ntz, parse_local_text
+from tidemark.operators.loading import duplicate_keys
 from tidemark.schemas import (BATCH_ALLOWED, BATCH_REQUIRED, HISTORY_COLUMNS, HISTORY_KEY, QUEUE_COLUMNS,
                               QUEUED, RUNNING, RUNNING_FLAG)
 
@@ -25,7 +24,8 @@ def queue_upsert(queue: DataFrame, records: DataFrame) -> DataFrame:
     """MERGE records into the queue.
 
     Match: same source_table and the queue row is still 'Q'. Matched rows take
-    the record's priority and its latest event time; unmatched records are
+    the record's priority and the latest event time known (a late record never
+    moves it back); unmatched records are
     inserted; all other queue rows (running ones included) stay as they are.
     ``records`` must hold one row per table (``enqueue_from_feed`` does).
     """
@@ -37,7 +37,8 @@ def queue_upsert(queue: DataFrame, records: DataFrame) -> DataFrame:
     matched = in_t & F.col("_tm_s").isNotNull()
     updates = {
         "priority": F.col("s_priority"),
-        "event_time_latest": F.coalesce(F.col("s_event_time_latest"), F.col("s_event_time")),
+        "event_time_latest": F.greatest("t_event_time_latest", "t_event_time",
+                                        F.coalesce(F.col("s_event_time_latest"), F.col("s_event_time"))),
     }
     cols = []
     for c in QUEUE_COLUMNS:
@@ -55,7 +56,8 @@ def prepare_batch(frame: DataFrame, catalog: str, as_of, local_zone: str | None
     allowed. Missing or null optional values get: target = catalog.source,
     where '', primary key '', event_time = as_of, lock_rows true, priority 1.
     Text event times are parsed strictly (``yyyy-MM-dd HH:mm:ss``), as local
-    time in ``local_zone`` when given, else as UTC.
+    time in ``local_zone`` when given, else as UTC; text that does not parse is
+    an error when the rows are read.
     """
     cols = set(frame.columns)
     missing = BATCH_REQUIRED - cols
@@ -68,8 +70,10 @@ def prepare_batch(frame: DataFrame, catalog: str, as_of, local_zone: str | None
              "event_time": "timestamp_ntz", "lock_rows": "boolean", "priority": "int"}
     if "event_time" in cols and isinstance(frame.schema["event_time"].dataType, T.StringType):
         text = F.col("event_time")
-        frame = frame.withColumn("event_time", parse_local_text(text, local_zone) if local_zone
-                                 else F.when(is_valid_text(text), text.try_cast("timestamp_ntz")))
+        parsed = (parse_local_text(text, local_zone) if local_zone
+                  else F.when(is_valid_text(text), text.try_cast("timestamp_ntz")))
+        wrong = F.raise_error(F.concat(F.lit("not an event time: "), text)).cast("timestamp_ntz")
+        frame = frame.withColumn("event_time", F.when(text.isNull() | parsed.isNotNull(), parsed).otherwise(wrong))
     for c, t in types.items():
         frame = frame.withColumn(c, F.col(c).cast(t) if c in cols else F.lit(None).cast(t))
     return frame.select(
@@ -90,6 +94,8 @@ def queue_batch_upsert(queue: DataFrame, frame: DataFrame, catalog: str, as_of,
     """Batch MERGE on source_table only: matched rows (running ones too) are overwritten
     and become 'Q'; trigger_time and event_time_latest are kept; others inserted."""
     s = prepare_batch(frame, catalog, as_of, local_zone)
+    if not duplicate_keys(frame, "source_table").isEmpty():
+        raise ValueError("the batch holds a source_table more than once")
     payload = [c for c in s.columns if c != "source_table"]
     t = queue.select(*[F.col(c).alias(f"t_{c}") for c in QUEUE_COLUMNS], F.lit(True).alias("_tm_t"))
     s = s.select(F.col("source_table").alias("s_source_table"), *[F.col(c).alias(f"s_{c}") for c in payload],
@@ -109,8 +115,7 @@ def queue_batch_upsert(queue: DataFrame, frame: DataFrame, catalog: str, as_of,
 
 # ---------------------------------------------------------------- claim
 def _claim_keys(claims: DataFrame, flag: str) -> DataFrame:
-    # Claims come from worker slots, so their count is bounded by the slot total.
-    return F.broadcast(claims.select(*HISTORY_KEY, F.lit(True).alias(flag)).dropDuplicates(HISTORY_KEY))
+    return claims.select(*HISTORY_KEY, F.lit(True).alias(flag)).dropDuplicates(HISTORY_KEY)
 
 
 def queue_after_claim(queue: DataFrame, claims: DataFrame, as_of) -> DataFrame:
@@ -154,7 +159,9 @@ def queue_after_complete(queue: DataFrame, completions: DataFrame) -> DataFrame:
 def history_after_complete(history: DataFrame, completions: DataFrame) -> DataFrame:
     """Set status, finish_time, duration_min, num_records and error (quotes removed) by key."""
     sets = ["status", "finish_time", "duration_min", "num_records", "error"]
-    c = completions.select(*HISTORY_KEY, *[F.col(x).alias(f"_c_{x}") for x in sets], F.lit(True).alias("_tm_done"))
+    last = F.max_by(F.struct(*sets), F.coalesce(F.col("finish_time").cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz")))
+    c = (completions.groupBy(*HISTORY_KEY).agg(last.alias("_tm_last"))  # of repeated completions the last counts
+         .select(*HISTORY_KEY, *[F.col(f"_tm_last.{x}").alias(f"_c_{x}") for x in sets], F.lit(True).alias("_tm_done")))
     j = history.join(c, HISTORY_KEY, "left")
     hit = F.coalesce(F.col("_tm_done"), F.lit(False))
     new = {

@@ -38,7 +38,8 @@ def count_reconcile(mode: str, payload: DataFrame, before: DataFrame, after: Dat
         keys = key_columns(primary_key)
         pk = payload.select(*keys)
         parts.append(_tag(before.join(pk, keys, "left_semi"), _MATCHED))
-        parts.append(_tag(pk.join(after.select(*keys), keys, "left_anti"), _MISSING))
+        # rows with a null key are inserted and cannot be found again by key
+        parts.append(_tag(pk.dropna(subset=keys).join(after.select(*keys), keys, "left_anti"), _MISSING))
     tagged = parts[0]
     for p in parts[1:]:
         tagged = tagged.unionByName(p)
@@ -76,14 +77,17 @@ def content_reconcile(source: DataFrame, target: DataFrame, columns: Sequence[st
 
     One aggregate over a tagged union (grouped by table when ``by`` names the
     table column); the checksum is the sum of 64-bit row hashes, so it does not
-    depend on row order or partitioning.
+    depend on row order or partitioning. The source is compared in the target's
+    types, and a null counts by its place.
     """
     cols = [c for c in (columns or target.columns) if c != by]
+    kinds = {f.name: f.dataType for f in target.schema.fields}
 
     def hashed(df: DataFrame, tag: int) -> DataFrame:
         keys = [F.col(by)] if by else []
         return df.select(*keys, F.lit(tag).alias("_tm_tag"),
-                         F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)").alias("_tm_h"))
+                         F.xxhash64(*[x for c in cols for x in (F.col(c).cast(kinds[c]), F.col(c).isNull())])
+                         .cast("decimal(38,0)").alias("_tm_h"))
 
     u = hashed(source, 0).unionByName(hashed(target, 1))
 

@@ -26,10 +26,12 @@ class Dispatch:
     history: DataFrame
 
 
-def resume_mark(queue: DataFrame, history: DataFrame, start):
-    """The feed mark to resume from on a first start: one aggregated value (latest known
-    event in queue or history), else ``start``."""
-    return qops.resume_watermark(queue, history, start=start).first()["watermark"]
+def resume_mark(queue: DataFrame, history: DataFrame, start, last=None):
+    """The feed mark to resume from: one aggregated value (latest known event in queue or
+    history), else ``start``; never before ``last``, the mark that the last cycle read to
+    (a completed table's later events are in neither table)."""
+    mark = qops.resume_watermark(queue, history, start=start).first()["watermark"]
+    return mark if last is None or (mark is not None and mark > last) else last
 
 
 def enqueue(queue: DataFrame, tracking: DataFrame, attrs: DataFrame, catalog: str, watermark, as_of,

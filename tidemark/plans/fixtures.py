@@ -156,7 +156,7 @@ class Fixtures:
 
     def _history(self) -> DataFrame:
         f = self.feed
-        old = f.where((f.event_time <= ntz(QUEUE_FROM)) & (f.event_id % 20 == 0)).select(
+        old = f.where(f.event_time <= ntz(QUEUE_FROM)).select(
             "source_table",
             F.lit(None).cast("string").alias("target_table"),
             F.lit(None).cast("string").alias("where_clause"),

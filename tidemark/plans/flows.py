@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import time
 import traceback
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from tidemark.operators.planning import extract_where
 from tidemark.operators.reconcile import count_reconcile
 from tidemark.schemas import FAILED, REPORT, STAGED, SUCCESS
 from tidemark.sinks import tables
+from tidemark.sources.catalog import dictionary_from_schema
 from tidemark.sources.staged import staged_scan
 
 
@@ -63,14 +65,15 @@ class LoadResult:
 
 def _payload(spark: SparkSession, source: DataFrame, target: DataFrame, plan: LoadPlan,
              dictionary=None, max_records_per_file: int | None = None) -> tuple[DataFrame, int | None]:
-    extracted = extract_where(source, plan.where_clause)
+    # a load that empties the target first must bring all of the source
+    extracted = extract_where(source, "" if plan.truncate_first else plan.where_clause)
     if plan.strategy != STAGED:
         # One snapshot of the live source: the key check, the anti join, the
         # append and the count must all see the same rows.
         snap = tables.materialize(extracted, "extract")
         return snap, None
-    text = (projection.source_text_projection(extracted, dictionary, target.schema) if dictionary
-            else extracted)
+    text = projection.source_text_projection(extracted, dictionary or dictionary_from_schema(extracted.schema),
+                                             target.schema)
     path, written = tables.export_stage(text, max_records_per_file=max_records_per_file)
     return staged_scan(spark, path, target.schema), written
 
@@ -80,8 +83,9 @@ def run_load(spark: SparkSession, source: DataFrame, target: DataFrame, plan: Lo
              check_keys: bool = True, bucket: tuple[str, int] | None = None) -> LoadResult:
     """Load one table and publish the next target version; never raises for load errors.
 
-    ``bucket=(table_name, buckets)`` publishes a keyed target bucketed by its
-    primary key under that catalog name, so the next merge does not shuffle it.
+    ``bucket=(name, buckets)`` publishes a keyed target bucketed by its primary
+    key, so the next merge does not shuffle it. Every version is a table of its
+    own; the session view ``name`` points at the last one.
     """
     start = time.time()
     status, error, path, n, check = SUCCESS, "", None, 0, None
@@ -98,8 +102,10 @@ def run_load(spark: SparkSession, source: DataFrame, target: DataFrame, plan: Lo
                                                        "primary_key": plan.primary_key})
         if bucket and plan.primary_key:
             path = tables.work_path(spark, "loads")
-            tables.publish_bucketed(nxt, bucket[0], loading.key_columns(plan.primary_key), bucket[1], path)
-            after = spark.table(bucket[0])
+            version = f"{bucket[0]}_{uuid.uuid4().hex[:12]}"
+            tables.publish_bucketed(nxt, version, loading.key_columns(plan.primary_key), bucket[1], path)
+            after = spark.table(version)
+            after.createOrReplaceTempView(bucket[0])
         else:
             path = tables.publish(nxt, name="loads")
             after = spark.read.parquet(path)

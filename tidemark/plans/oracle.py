@@ -58,7 +58,7 @@ SELECT source_table, CAST(NULL AS VARCHAR) AS target_table, CAST(NULL AS VARCHAR
   event_time, CAST(NULL AS TIMESTAMP) AS trigger_time, CAST(NULL AS TIMESTAMP) AS finish_time,
   CAST(NULL AS DOUBLE) AS duration_min, CAST(NULL AS VARCHAR) AS strategy, CAST(NULL AS BOOLEAN) AS lock_rows,
   CAST(NULL AS INTEGER) AS priority, CAST(NULL AS VARCHAR) AS error, event_id AS num_records
-FROM feed WHERE event_time <= TIMESTAMP '2024-01-18 00:00:00' AND event_id % 20 = 0
+FROM feed WHERE event_time <= TIMESTAMP '2024-01-18 00:00:00'
 UNION ALL
 SELECT source_table, target_table, where_clause, primary_key, 'RUNNING', event_time, trigger_time,
   CAST(NULL AS TIMESTAMP), CAST(NULL AS DOUBLE), strategy, lock_rows, priority, CAST(NULL AS VARCHAR),
@@ -95,7 +95,8 @@ VIEWS["upserted"] = """
 SELECT q.source_table, q.target_table, q.where_clause, q.primary_key, q.event_time, q.trigger_time, q.strategy,
   q.lock_rows, q.status,
   CASE WHEN r.source_table IS NOT NULL THEN r.priority ELSE q.priority END AS priority,
-  CASE WHEN r.source_table IS NOT NULL THEN coalesce(r.event_time_latest, r.event_time)
+  CASE WHEN r.source_table IS NOT NULL
+       THEN (SELECT max(x) FROM (VALUES (q.event_time_latest), (q.event_time), (r.event_time_latest), (r.event_time)) v(x))
        ELSE q.event_time_latest END AS event_time_latest
 FROM queue q LEFT JOIN records r ON q.source_table = r.source_table AND q.status = 'Q'
 UNION ALL

@@ -7,6 +7,8 @@ job re-runs into a clean place and readers of the old version are not broken.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -82,10 +84,17 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     (a missing queue has length 0, an absent history has no rows)."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return spark.createDataFrame([], schema)
 
 
+def path_missing(e: AnalysisException) -> bool:
+    """Whether a read failed because nothing is at its path (anything else there is an error)."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> bool:
     """Create an empty control table (queue, history) unless one exists; True when created.
 
@@ -95,8 +104,10 @@ def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> bool
     try:
         spark.read.parquet(path).schema
         return False
-    except AnalysisException:
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
+        spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
         return True
 
 
@@ -148,27 +159,37 @@ def replace_where_in_place(spark: SparkSession, path: str, payload: DataFrame, w
     rows kept by ``coalesce(p, false) = false`` plus matching payload rows) is
     first written to the shared work folder, which cuts the lineage to the
     files about to be replaced, then swapped in by dynamic partition overwrite.
-    Untouched partitions are neither read back nor rewritten. A partition the
-    load would leave empty cannot be emptied by a dynamic overwrite (it writes
-    no files there), so in that case the whole table is rewritten from the
-    staged copy instead.
+    Untouched partitions are neither read back nor rewritten. A dynamic overwrite
+    writes no files to a partition that the load leaves empty, so the folders of
+    those are deleted after the swap. A null partition value is a partition like
+    any other.
     """
     p = F.expr(where)
     target = spark.read.parquet(path)
     fresh = materialize(payload.where(p).select(*target.columns), "payload")  # one snapshot of the payload
     touched = materialize(target.where(F.coalesce(p, F.lit(False))).select(*partition_by)
                           .unionByName(fresh.select(*partition_by)).distinct(), "touched")
-    kept = target.join(touched, partition_by, "left_semi").where(~F.coalesce(p, F.lit(False)))
+    kept = _partitions(target, touched, partition_by, "left_semi").where(~F.coalesce(p, F.lit(False)))
     staged = materialize(kept.unionByName(fresh), "replace_where")
-    emptied = touched.join(staged.select(*partition_by).distinct(), partition_by, "left_anti")
-    if emptied.isEmpty():
-        return replace_partitions(staged.select(*target.columns), path, partition_by)
-    untouched = target.join(touched, partition_by, "left_anti")
-    whole = materialize(untouched.unionByName(staged.select(*target.columns)), "replace_where_full")
-    whole.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    emptied = _partitions(touched, staged.select(*partition_by).distinct(), partition_by, "left_anti")
+    folders = (_partitions(target.select(*partition_by, F.col("_metadata.file_path").alias("_tm_file")), emptied,
+                           partition_by, "left_semi")
+               .select(F.regexp_replace("_tm_file", "/[^/]*$", "").alias("folder")).distinct().collect())
+    replace_partitions(staged.select(*target.columns), path, partition_by)
+    jvm = spark._jvm
+    for r in folders:  # one folder per emptied partition
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["folder"]))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return path
 
 
+def _partitions(df: DataFrame, touched: DataFrame, partition_by: list[str], how: str) -> DataFrame:
+    """Semi or anti join on the partition columns, where null equals null."""
+    other = touched.select(*[F.col(c).alias(f"_tm_p_{c}") for c in partition_by])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_tm_p_{c}")) for c in partition_by])
+    return df.join(other, same, how)
+
+
 def merge_in_place(spark: SparkSession, path: str, payload: DataFrame, primary_key, partition_by: list[str],
                    check_moves: bool = True) -> str:
     """Primary-key MERGE into a partitioned table, rewriting only the partitions the payload touches.
@@ -180,17 +201,19 @@ def merge_in_place(spark: SparkSession, path: str, payload: DataFrame, primary_k
     payload key exists in an untouched partition by reading key and partition
     columns only, and refuses the load otherwise (use ``merge_pk`` + ``publish``).
     """
-    from tidemark.operators.loading import key_columns, merge_pk
+    from tidemark.operators.loading import duplicate_keys, key_columns, merge_pk
 
     keys = key_columns(primary_key)
     target = spark.read.parquet(path)
     payload = materialize(payload.select(*target.columns), "payload")  # one snapshot for every use below
+    if not duplicate_keys(payload, keys).isEmpty():
+        raise ValueError(f"payload has duplicate keys for {keys}")
     touched = payload.select(*partition_by).distinct()
     if check_moves:
-        elsewhere = (target.select(*keys, *partition_by).join(touched, partition_by, "left_anti")
+        elsewhere = (_partitions(target.select(*keys, *partition_by), touched, partition_by, "left_anti")
                      .join(payload.select(*keys), keys, "left_semi"))
         if not elsewhere.isEmpty():
             raise ValueError("payload keys exist in partitions the payload does not touch")
-    current = target.join(touched, partition_by, "left_semi")
+    current = _partitions(target, touched, partition_by, "left_semi")
     staged = materialize(merge_pk(current, payload, keys), "merge")
     return replace_partitions(staged.select(*target.columns), path, partition_by)
