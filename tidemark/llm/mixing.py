@@ -61,9 +61,9 @@ def mixing_weights(totals: DataFrame, *, entropy: float | None = None, max_epoch
 
     ``entropy``: the exponent is the largest of at most ``STEEPEST`` whose
     weights still have this share (0 to 1) of the largest possible entropy.
-    ``max_epochs``: no source is repeated more often; the exponent is raised as
-    far as that needs (up to 1, where all sources repeat alike), whatever the
-    entropy. Neither: exponent 1. ``budget``: tokens of the whole mixture; None
+    ``max_epochs``: no source is repeated more often; the exponent is moved
+    towards 1, where all sources repeat alike, as far as that needs, whatever
+    the entropy. Neither: exponent 1. ``budget``: tokens of the whole mixture; None
     spends as much as keeps every source whole at least once.
     """
     n = totals.count()
@@ -83,9 +83,12 @@ def mixing_weights(totals: DataFrame, *, entropy: float | None = None, max_epoch
         if at(k)["entropy"] < entropy:
             k = _bisect(lambda m: at(m)["entropy"] < entropy, 0, k) - 1
     if max_epochs is not None and at(k)["epochs"] > max_epochs:
-        if k >= STEPS or at(STEPS)["epochs"] > max_epochs:
+        if at(STEPS)["epochs"] > max_epochs:
             raise ValueError("the budget needs more epochs than max_epochs")
-        k = _bisect(lambda m: at(m)["epochs"] <= max_epochs, k, STEPS)
+        if k < STEPS:  # flatter: the rarest source repeats most
+            k = _bisect(lambda m: at(m)["epochs"] <= max_epochs, k, STEPS)
+        else:  # steeper: the largest source does
+            k = _bisect(lambda m: at(m)["epochs"] > max_epochs, STEPS, k) - 1
     m = at(k)
     weight = F.round(F.pow("share", F.lit(k / STEPS)) / F.lit(m["z"]), 12)
     own = F.floor(F.col("weight") * F.lit(m["spend"]) + 0.5).cast("long")
