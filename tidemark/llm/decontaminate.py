@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sinks.tables import materialize
 
+LEAST_WORDS = 5  # items of fewer words cannot be told from ordinary text
 LETTERS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))  # other ASCII becomes a space
 
 
@@ -53,9 +54,13 @@ def common_words(item: dict[bytes, int], n: int, region: list[bytes]) -> int:
 def _passages(items: DataFrame, window: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(i, k, words[k * window:(k + 1) * window], answer_of(t) if (k + 1) * window >= len(words) else [])
-                   for i, t in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist())
-                   for words in [words_of(t)] for k in range(-(-len(words) // window))]
+            out = []
+            for i, t in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist()):
+                words = words_of(t)
+                parts = -(-len(words) // window) if len(words) >= LEAST_WORDS else 0
+                for k in range(parts):  # of even length, so that no short rest is left
+                    piece = words[k * len(words) // parts:(k + 1) * len(words) // parts]
+                    out.append((i, k, piece, answer_of(t) if k == parts - 1 else []))
             if out:
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
@@ -145,8 +150,8 @@ def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     least the benchmark passages of a block the latent space holds each of them
     whole; a lower rank loses candidates (measured in the README).
 
-    Null and empty texts and items without words give no rows. A null id stays
-    null, repeated rows give repeated rows. Other columns are ignored. The
+    Null and empty texts and items of fewer than five words give no rows. A null
+    id stays null, repeated rows give repeated rows. Other columns are ignored. The
     benchmark is a stated query set: it is taken in blocks of about
     ``block_items`` items, each broadcast against all documents. Empty tables:
     no rows.
