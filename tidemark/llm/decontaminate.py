@@ -161,15 +161,16 @@ def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     queries = materialize(_passages(items.select(F.col(item_id).cast("long").alias("item_id"),
                                                  F.col(item_text).alias("text")), window), "decontaminate")
     n_items = queries.select("item_id").distinct().count()
-    blocks = max(1, -(-n_items // block_items))
+    if not n_items:
+        return spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, n_passages long")
+    blocks = -(-n_items // block_items)
     found = None
     for b in range(blocks):
         block = queries.where(F.expr(f"pmod(xxhash64(item_id, part), {blocks}) = {b}"))
         part = _block(corpus, block, rank, window, cosine, copied, paraphrased)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("row", "doc_id", "item_id").agg(
-        F.max("cosine").alias("cosine"), F.max("lcs").alias("lcs"), F.count("*").alias("n_passages")).drop("row") \
-        if n_items else spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, n_passages long")
+        F.max("cosine").alias("cosine"), F.max("lcs").alias("lcs"), F.count("*").alias("n_passages")).drop("row")
 
 
 def _block(corpus: DataFrame, queries: DataFrame, rank: int, window: int, least: float, copied: float,
