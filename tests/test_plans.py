@@ -30,6 +30,14 @@ def test_claims_limit_rows_before_the_shuffle(spark):
     assert "WindowGroupLimit" in p
 
 
+def test_claims_do_not_rank_the_whole_queue(spark):
+    fx = Fixtures(spark, SF_SMALL)
+    for df in (ranking.claim_eligible(fx.queue, fx.attrs, RANK_AS_OF, SLOTS),
+               ranking.next_eligible(fx.queue, fx.attrs, RANK_AS_OF)):
+        p = plan(df, "simple")
+        assert "rangepartitioning" not in p and "Nested" not in p and "Cartesian" not in p
+
+
 def test_cdc_plan_scans_each_side_once(spark):
     fx = Fixtures(spark, SF_SMALL)
     p = plan(planning.cdc_plan(fx.load_source, fx.load_target, "o_orderpriority", "o_orderdate"), "simple")

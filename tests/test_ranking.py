@@ -1,5 +1,6 @@
 """Staleness tiers, global ranking and claims: edge rows and brute-force checks."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -129,3 +130,21 @@ def test_global_row_number_with_aqe_coalesced_ranges(spark):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     want = {k: i + 1 for i, (p, t, k) in enumerate(sorted(data, key=lambda x: (-x[0], x[1], x[2])))}
     assert got == want
+
+
+def test_claims_without_the_whole_rank_equal_those_of_the_rank(spark):
+    rng = random.Random(5)
+    names = [f"S.T{i}" for i in range(60)]
+    queue = [(n, f"T.{n}", "", "", dt.datetime(2024, 1, 20, rng.randrange(12), 0), None, rng.choice(["JDBC", "WriteNOS", "TPT"]),
+              True, rng.choice("QQQR"), rng.randrange(3), None) for n in names]
+    attrs = [(n, None, "cdc", "u", "id", "JDBC", False, 1, rng.choice([0, 300]), rng.choice([60, 720, 900]))
+             for n in names[:50]]
+    q, a = spark.createDataFrame(queue, QUEUE), spark.createDataFrame(attrs, ATTRS)
+    ranked = ranking.priority_rank(q, a, AS_OF)
+    for slots in ({"JDBC": 3, "WriteNOS": 20}, {"JDBC": 1, "WriteNOS": 1}, {}):
+        want = sorted(ranking.claim_slots(ranked, slots).collect())
+        assert sorted(ranking.claim_eligible(q, a, AS_OF, slots).collect()) == want
+    assert sorted(ranking.next_eligible(q, a, AS_OF).collect()) == sorted(ranking.claim_next(ranked).collect())
+    none = spark.createDataFrame([], QUEUE)
+    assert ranking.claim_eligible(none, a, AS_OF, {"JDBC": 1}).count() == 0
+    assert ranking.next_eligible(none, a, AS_OF).count() == 0

@@ -88,17 +88,21 @@ def staleness_tiers(queue: DataFrame, attrs: DataFrame, as_of) -> DataFrame:
     return s.groupBy("tier").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def eligible(queue: DataFrame, attrs: DataFrame, as_of) -> DataFrame:
+    """Queued rows with their weighted priority, where that is over 0 (``RANK_COLUMNS``)."""
+    s = with_staleness(queue.where(F.col("status") == QUEUED), attrs, as_of)
+    weighted = s.select(*[c for c in RANK_COLUMNS if c != "priority"],
+                        weighted_priority(F.col("tier"), F.col("priority")).alias("priority"))
+    return weighted.where(F.col("priority") > 0)
+
+
 def priority_rank(queue: DataFrame, attrs: DataFrame, as_of) -> DataFrame:
     """Eligible queued rows with weighted priority and global rank.
 
     Eligible: status 'Q' and weighted priority > 0. Rank order: weighted
     priority desc, event_time asc, source_table asc.
     """
-    s = with_staleness(queue.where(F.col("status") == QUEUED), attrs, as_of)
-    weighted = s.select(*[c for c in RANK_COLUMNS if c != "priority"],
-                        weighted_priority(F.col("tier"), F.col("priority")).alias("priority"))
-    eligible = weighted.where(F.col("priority") > 0)
-    return global_row_number(eligible, priority_order()).select(*RANK_COLUMNS, "rank")
+    return global_row_number(eligible(queue, attrs, as_of), priority_order()).select(*RANK_COLUMNS, "rank")
 
 
 def fifo_rank(queue: DataFrame, attrs: DataFrame | None = None, as_of=None) -> DataFrame:
@@ -142,11 +146,16 @@ def claim_slots(ranked: DataFrame, slots: Mapping[str, int]) -> DataFrame:
     direct rows. Other strategies are never claimed. The output adds
     ``worker`` (the pool that takes the row) and is bounded by the slot count.
     """
+    return _assign(ranked, slots, [F.col("rank").asc()]).select(*RANK_COLUMNS, "rank", "worker")
+
+
+def _assign(rows: DataFrame, slots: Mapping[str, int], order: Sequence[Column]) -> DataFrame:
+    """The best rows per strategy in ``order``, with the ``worker`` that takes each."""
     j = int(slots.get(DIRECT, 0))
     w = int(slots.get(STAGED, 0))
     limit = max(j + w, w, 1)
-    per = Window.partitionBy("strategy").orderBy(F.col("rank").asc())
-    top = (ranked.where(F.col("strategy").isin(DIRECT, STAGED))
+    per = Window.partitionBy("strategy").orderBy(*order)
+    top = (rows.where(F.col("strategy").isin(DIRECT, STAGED))
            .withColumn("_tm_rn", F.row_number().over(per))
            .where(F.col("_tm_rn") <= limit))  # WindowGroupLimit: at most `limit` rows per strategy leave a task
     # At most 2 * limit rows remain, so a global window over them is bounded by the slot counts.
@@ -156,5 +165,48 @@ def claim_slots(ranked: DataFrame, slots: Mapping[str, int]) -> DataFrame:
     worker = (F.when((F.col("strategy") == STAGED) & (F.col("_tm_rn") <= w), F.lit(STAGED))
                .when((F.col("strategy") == DIRECT) & (F.col("_tm_rn") <= j), F.lit(DIRECT))
                .when((F.col("strategy") == DIRECT) & (F.col("_tm_rn") <= F.lit(j) + spare), F.lit(STAGED)))
-    out = top.withColumn("worker", worker).where(F.col("worker").isNotNull())
-    return out.select(*RANK_COLUMNS, "rank", "worker")
+    return top.withColumn("worker", worker).where(F.col("worker").isNotNull()).drop("_tm_rn")
+
+
+def with_priority_rank(few: DataFrame, rows: DataFrame) -> DataFrame:
+    """``few`` of the eligible ``rows`` with the rank that ``priority_rank`` gives them.
+
+    ``few`` must be small (claims, one row per strategy) and stable between
+    reads (written once). Their order keys form one sorted array; one aggregate
+    over ``rows`` counts the rows between neighbouring keys, and a rank is the
+    count of rows ahead. No row of the queue is sorted or shuffled for it.
+    """
+    key = F.struct((-F.col("priority")).alias("p"), F.col("event_time").alias("t"), F.col("source_table").alias("s"))
+    keys = few.agg(F.sort_array(F.collect_list(key))).scalar()  # a column of its own: no subqueries in lambdas
+    between = (rows.withColumn("_tm_keys", keys)
+               .select(F.size(F.filter("_tm_keys", lambda k: k <= key)).alias("b"))
+               .groupBy("b").agg(F.count(F.lit(1)).alias("n")))
+    counts = between.agg(F.collect_list(F.struct("b", "n"))).scalar()  # at most one entry more than there are keys
+    same = Window.partitionBy("priority", "event_time", "source_table").orderBy("strategy")
+    before = (few.withColumn("_tm_keys", keys).withColumn("_tm_counts", counts)
+              .withColumn("_tm_before", F.size(F.filter("_tm_keys", lambda k: k < key)))
+              .withColumn("_tm_at", F.row_number().over(same)))
+    ahead = F.aggregate(F.filter("_tm_counts", lambda x: x["b"] <= F.col("_tm_before")), F.lit(0).cast("bigint"),
+                        lambda acc, x: acc + x["n"])
+    return before.withColumn("rank", ahead + F.col("_tm_at")).drop("_tm_keys", "_tm_counts", "_tm_before", "_tm_at")
+
+
+def claim_eligible(queue: DataFrame, attrs: DataFrame, as_of, slots: Mapping[str, int]) -> DataFrame:
+    """``claim_slots`` of the priority ranking without ranking the whole queue.
+
+    The best rows per strategy come straight from the eligible rows and are
+    written once (at most as many as there are slots); only they get a rank.
+    """
+    rows = eligible(queue, attrs, as_of)
+    taken = materialize(_assign(rows, slots, priority_order()), "claims")
+    return with_priority_rank(taken, rows).select(*RANK_COLUMNS, "rank", "worker")
+
+
+def next_eligible(queue: DataFrame, attrs: DataFrame, as_of) -> DataFrame:
+    """``claim_next`` of the priority ranking (one row per strategy) without ranking the whole queue."""
+    rows = eligible(queue, attrs, as_of)
+    best = rows.groupBy("strategy").agg(F.min_by(
+        F.struct(*[c for c in RANK_COLUMNS if c != "strategy"]),
+        F.struct(-F.col("priority"), "event_time", "source_table")).alias("_tm_best"))
+    few = materialize(best.select("strategy", "_tm_best.*"), "claims")
+    return with_priority_rank(few, rows).select(*RANK_COLUMNS, "rank")

@@ -46,10 +46,14 @@ def dispatch(queue: DataFrame, history: DataFrame, attrs: DataFrame, as_of, slot
     """Rank the queue, claim the free slots and apply the claims to queue and history.
 
     The claims are written once (at most the slot total of rows) so both
-    transitions apply the same decision.
+    transitions apply the same decision. The default ranking never ranks the
+    whole queue; a view of the user's own is applied to all of it.
     """
-    ranked = ranking.rank_queue(queue, attrs, as_of, view)
-    claims = materialize(ranking.claim_slots(ranked, slots), "claims")
+    if view is ranking.priority_rank:
+        best = ranking.claim_eligible(queue, attrs, as_of, slots)
+    else:
+        best = ranking.claim_slots(ranking.rank_queue(queue, attrs, as_of, view), slots)
+    claims = materialize(best, "claims")
     return Dispatch(claims, qops.queue_after_claim(queue, claims, as_of),
                     qops.history_after_claim(history, claims, as_of))
 

@@ -68,7 +68,7 @@ SELECT q.source_table, q.target_table, q.where_clause, q.primary_key, q.event_ti
 FROM queue q LEFT JOIN claims c ON q.source_table = c.source_table AND q.event_time = c.event_time""", "claims"))
 def q_queue_after_claim(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return qops.queue_after_claim(fx.queue, claims(fx), RANK_AS_OF)
+    return qops.queue_after_claim(fx.queue, claims(fx, materialize=True), RANK_AS_OF)
 
 
 @register("history_after_claim", O.with_views(f"""
@@ -84,7 +84,7 @@ WHERE NOT EXISTS (SELECT 1 FROM history h WHERE h.source_table = c.source_table
                     AND h.status = 'RUNNING')""", "history", "claims"))
 def q_history_after_claim(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return qops.history_after_claim(fx.history, claims(fx), RANK_AS_OF)
+    return qops.history_after_claim(fx.history, claims(fx, materialize=True), RANK_AS_OF)
 
 
 @register("queue_after_complete", O.with_views("""

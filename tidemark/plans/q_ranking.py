@@ -12,10 +12,9 @@ from tidemark.sinks import tables
 
 
 def claims(fx: Fixtures, materialize: bool = False) -> DataFrame:
-    """This cycle's claims. They are derived from the materialized rank placement, so they
-    are deterministic; ``materialize`` writes them once more (at most the slot total of
-    rows) when several consumers should read the very same rows (see ``cycle.dispatch``)."""
-    c = ranking.claim_slots(ranking.priority_rank(fx.queue, fx.attrs, RANK_AS_OF), SLOTS)
+    """This cycle's claims; ``materialize`` writes them with their ranks (at most the slot total
+    of rows), for consumers that read them several times (see ``cycle.dispatch``)."""
+    c = ranking.claim_eligible(fx.queue, fx.attrs, RANK_AS_OF, SLOTS)
     return tables.materialize(c, "claims") if materialize else c
 
 
@@ -48,7 +47,7 @@ def q_fifo_rank(spark, sf_dir):
 SELECT * FROM ranked WHERE rank IN (SELECT min(rank) FROM ranked WHERE rank >= 1 GROUP BY strategy)""", "ranked"))
 def q_claim_next(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return ranking.claim_next(ranking.priority_rank(fx.queue, fx.attrs, RANK_AS_OF))
+    return ranking.next_eligible(fx.queue, fx.attrs, RANK_AS_OF)
 
 
 @register("claim_slots", O.with_views("SELECT * FROM claims", "claims"))
