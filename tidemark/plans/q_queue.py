@@ -171,7 +171,7 @@ def _cycle(fx: Fixtures):
     return cycle.dispatch(q1, fx.history, fx.attrs, CYCLE_END, SLOTS)
 
 
-_CYCLE_VIEWS = {"ranked2": O.ranked_cte(CYCLE_END, source="upserted"),
+_CYCLE_VIEWS = {"weighted2": O.weighted_sql(CYCLE_END, source="upserted"), "ranked2": O.ranked_sql("weighted2"),
                 "claims2": O._claims_sql(SLOTS["JDBC"], SLOTS["WriteNOS"], ranked="ranked2")}
 
 
