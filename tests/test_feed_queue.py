@@ -217,6 +217,27 @@ def test_stream_first_start_skips_through_the_mark(spark, tmp_path):
     assert [r.source_table for r in read_version(spark, root).collect()] == ["S.B"]
 
 
+def test_a_new_checkpoint_goes_on_with_the_existing_queue(spark, tmp_path):
+    from tidemark.schemas import FEED
+    from tidemark.streaming.enqueue import published_versions, read_version, start_enqueue, version_path
+    root, names = str(tmp_path / "queue"), ("S.A", "S.B", "S.C")
+    a = attrs(spark, [(s, None, "s", None, None, "JDBC", False, 1, 0, 60) for s in names])
+
+    def run(name, ckpt):
+        feed(spark, [(name, T0)]).write.mode("append").parquet(str(tmp_path / f"feed_{ckpt}"))
+        start_enqueue(spark, str(tmp_path / f"feed_{ckpt}"), FEED, a, "main", root, str(tmp_path / ckpt),
+                      initial_queue=spark.createDataFrame([], QUEUE)).awaitTermination()
+        return sorted(r.source_table for r in read_version(spark, root).collect())
+
+    assert run("S.A", "one") == ["S.A"]
+    assert run("S.B", "two") == ["S.A", "S.B"]
+    assert run("S.C", "two") == ["S.A", "S.B", "S.C"]  # a restart keeps its numbers
+    assert published_versions(spark, root) == [-1, 0, 1, 2]
+    feed(spark, [("S.X", T0)]).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        version_path(root, 3))
+    assert published_versions(spark, root) == [-1, 0, 1, 2]  # an unfinished version is not read
+
+
 def test_attr_lines_arity_and_text_fields(spark):
     lines = spark.createDataFrame([
         ("SRC.A,,snapshot,,id,JDBC,false,2,,120",),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import empty_to_null, name_parts, parse_flag, qualify
-from tidemark.schemas import QUEUE_COLUMNS, QUEUED, STRATEGIES
+from tidemark.schemas import QUEUE_COLUMNS, QUEUED, STAGED, STRATEGIES
 
 
 def coalesce_feed(feed: DataFrame) -> DataFrame:
@@ -152,3 +152,20 @@ def enqueue_from_feed(feed: DataFrame, attrs: DataFrame, catalog: str,
                       plan: DataFrame | None = None) -> DataFrame:
     """Feed -> one queue record per table (coalesce first, then join attributes)."""
     return enqueue_records(coalesce_feed(feed), attrs, catalog, plan)
+
+
+def enqueue_all_tables(feed: DataFrame, catalog: str) -> DataFrame:
+    """Feed -> one queue record per table without attributes: every table of the feed is loaded.
+
+    The target is always ``catalog`` and the source name, the load is staged,
+    the priority 1 and the primary key unknown (null).
+    """
+    out = coalesce_feed(feed).select(
+        "source_table", F.concat(F.lit(f"{catalog}."), F.col("source_table")).alias("target_table"),
+        F.lit("").alias("where_clause"), F.lit(None).cast("string").alias("primary_key"),
+        F.col("first_event_time").alias("event_time"), F.lit(None).cast("timestamp_ntz").alias("trigger_time"),
+        F.lit(STAGED).alias("strategy"), F.lit(True).alias("lock_rows"), F.lit(QUEUED).alias("status"),
+        F.lit(1).alias("priority"),
+        F.when(F.col("events") > 1, F.col("latest_event_time")).alias("event_time_latest"),
+    )
+    return out.select(*QUEUE_COLUMNS)

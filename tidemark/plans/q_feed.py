@@ -120,3 +120,14 @@ def q_attrs_validate(spark, sf_dir):
 @register("enqueue_records", O.with_views("SELECT * FROM records", "records"))
 def q_enqueue_records(spark, sf_dir):
     return records(Fixtures(spark, sf_dir))
+
+
+@register("enqueue_all_tables", O.with_views("""
+SELECT source_table, 'main.' || source_table AS target_table, '' AS where_clause, CAST(NULL AS VARCHAR) AS primary_key,
+  event_time, CAST(NULL AS TIMESTAMP) AS trigger_time, 'WriteNOS' AS strategy, true AS lock_rows, 'Q' AS status,
+  1 AS priority, nullif(last_time, event_time) AS event_time_latest
+FROM (SELECT DISTINCT source_table, first_value(event_time) OVER t AS event_time, last_value(event_time) OVER t AS last_time
+      FROM incoming WINDOW t AS (PARTITION BY source_table ORDER BY event_time
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) x""", "incoming"))
+def q_enqueue_all_tables(spark, sf_dir):
+    return feedops.enqueue_all_tables(Fixtures(spark, sf_dir).incoming.select("source_table", "event_time"), CATALOG)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import loading, planning, projection
 from tidemark.operators.projection import ColumnSpec
-from tidemark.operators.reconcile import count_reconcile
+from tidemark.operators.reconcile import content_reconcile, count_reconcile
 from tidemark.plans import oracle as O
 from tidemark.plans.fixtures import Fixtures
 from tidemark.plans.registry import register
@@ -187,6 +187,23 @@ def q_row_count_reconcile(spark, sf_dir):
     return over.unionByName(rw).unionByName(mg)
 
 
+_DIFFERENT = " EXCEPT ALL ".join("SELECT {} FROM {}".format(", ".join(_COLS), t) for t in ("{}", "{}"))
+
+
+@register("content_reconcile", O.with_views(f"""
+SELECT o_custkey, coalesce(s.n, 0) AS source_rows, coalesce(t.n, 0) AS target_rows, o_custkey NOT IN (
+    SELECT o_custkey FROM ({_DIFFERENT.format("load_source", "load_target")}) a
+    UNION SELECT o_custkey FROM ({_DIFFERENT.format("load_target", "load_source")}) b) AS ok
+FROM (SELECT o_custkey, count(*) AS n FROM load_source GROUP BY o_custkey) s
+FULL JOIN (SELECT o_custkey, count(*) AS n FROM load_target GROUP BY o_custkey) t USING (o_custkey)""",
+                                            "load_source", "load_target"))
+def q_content_reconcile(spark, sf_dir):
+    """Rows and content of both sides per customer (standing for a table): agreeing, changed and missing rows occur."""
+    fx = Fixtures(spark, sf_dir)
+    return content_reconcile(fx.load_source, fx.load_target, columns=_COLS, by="o_custkey").select(
+        "o_custkey", "source_rows", "target_rows", "ok")
+
+
 # ---------------------------------------------------------------- whole load flows
 FLOW_WHERE = "o_orderdate >= '1999-06-01'"
 SOURCE_DICTIONARY = [

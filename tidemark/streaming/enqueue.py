@@ -3,8 +3,8 @@
 The reference polls the feed in a hand-written loop and keeps a high-water
 mark. Here the file source tracks progress in the checkpoint, so restarts
 resume exactly where they stopped, and every micro-batch publishes a new queue
-version ``version=<batch id>`` (overwrite of that one folder), so a replayed
-batch rewrites the same version from the same inputs: idempotent.
+version ``version=<first + batch id>`` (overwrite of that one folder), so a
+replayed batch rewrites the same version from the same inputs: idempotent.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.timeexpr import ntz
 from tidemark.operators.feed import coalesce_feed, enqueue_from_feed
@@ -22,20 +21,21 @@ from tidemark.operators.queue import queue_upsert
 INITIAL_VERSION = -1
 
 
-def version_path(root: str, version: int) -> str:
+def version_path(root: str, version: int | str) -> str:
     return f"{root.rstrip('/')}/version={version}"
 
 
+def published_versions(spark: SparkSession, root: str) -> list[int]:
+    """Finished versions, ascending, from a folder listing: a version still being written has no success mark."""
+    jvm = spark._jvm
+    marks = jvm.org.apache.hadoop.fs.Path(f"{version_path(root, '*')}/_SUCCESS")
+    found = marks.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(marks)
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or [])
+
+
 def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """Highest published version (optionally below a batch id); one tiny aggregate row."""
-    try:
-        v = spark.read.parquet(root).select("version").distinct()
-    except AnalysisException:
-        return None
-    if below is not None:
-        v = v.where(F.col("version") < below)
-    row = v.agg(F.max("version").alias("v")).first()
-    return None if row is None or row["v"] is None else int(row["v"])
+    """Highest finished version (optionally below another)."""
+    return max((v for v in published_versions(spark, root) if below is None or v < below), default=None)
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
@@ -45,19 +45,26 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.parquet(version_path(root, version))
 
 
-def previous_version(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
-    """The version a micro-batch builds on: ``batch_id - 1`` (or the seed), read directly.
+def previous_version(spark: SparkSession, root: str, version: int) -> DataFrame | None:
+    """The finished version that ``version`` builds on: the highest below it, which a replay finds again."""
+    prev = latest_version(spark, root, below=version)
+    return None if prev is None else spark.read.parquet(version_path(root, prev))
+
+
+def first_version(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """The version that batch 0 of a checkpoint publishes: the one after the latest of its first start.
 
-    Batch ids are consecutive in the offset log and a batch is committed only
-    after its version is written, so this folder exists; listing all versions
-    is only the fallback (e.g. a new checkpoint over an existing table).
+    Written next to the checkpoint (``<checkpoint>.first``), so restarts go on
+    with the same numbers and a new checkpoint goes on with the existing queue.
     """
-    want = batch_id - 1 if batch_id > 0 else INITIAL_VERSION
-    try:
-        return spark.read.parquet(version_path(root, want))
-    except AnalysisException:
-        prev = latest_version(spark, root, below=batch_id)
-        return None if prev is None else spark.read.parquet(version_path(root, prev))
+    note = f"{checkpoint.rstrip('/')}.first"
+    jvm = spark._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{note}/_SUCCESS")
+    if not mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(mark):
+        latest = latest_version(spark, root)
+        first = 0 if latest is None else latest + 1
+        spark.range(1).select(F.lit(first).alias("first")).write.mode("overwrite").parquet(note)
+    return spark.read.parquet(note).first()["first"]
 
 
 def publish_version(df: DataFrame, root: str, version: int) -> str:
@@ -69,20 +76,22 @@ def publish_version(df: DataFrame, root: str, version: int) -> str:
 class QueueEnqueueBatch:
     """``foreachBatch`` body: coalesce the micro-batch, enrich, MERGE into the last queue version."""
 
-    def __init__(self, attrs: DataFrame, catalog: str, queue_root: str):
+    def __init__(self, attrs: DataFrame, catalog: str, queue_root: str, first: int = 0):
         self.attrs = attrs
         self.catalog = catalog
         self.queue_root = queue_root
+        self.first = first  # version of batch 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        queue = previous_version(spark, self.queue_root, batch_id)
+        version = self.first + batch_id
+        queue = previous_version(spark, self.queue_root, version)
         if queue is None:
             raise ValueError(f"no queue version to build batch {batch_id} on under {self.queue_root}")
         records = enqueue_from_feed(batch, self.attrs, self.catalog)
-        publish_version(queue_upsert(queue, records), self.queue_root, batch_id)
-        batch_metrics(batch, queue, batch_id).write.mode("overwrite").parquet(
-            f"{self.queue_root.rstrip('/')}/_metrics/batch={batch_id}")
+        publish_version(queue_upsert(queue, records), self.queue_root, version)
+        batch_metrics(batch, queue, version).write.mode("overwrite").parquet(
+            f"{self.queue_root.rstrip('/')}/_metrics/batch={version}")
 
 
 def batch_metrics(batch: DataFrame, queue: DataFrame, batch_id: int) -> DataFrame:
@@ -110,16 +119,18 @@ def start_enqueue(spark: SparkSession, feed_dir: str, feed_schema: T.StructType,
     ``skip_through`` (an instant, e.g. ``cycle.resume_mark`` on a first start over
     an existing feed folder) drops feed rows at or below it, like the
     reference's ``> mark`` filter; after that the checkpoint tracks progress.
+    One stream at a time may write to a queue.
     """
     if initial_queue is not None and latest_version(spark, queue_root) is None:
         publish_version(initial_queue, queue_root, INITIAL_VERSION)
+    first = first_version(spark, queue_root, checkpoint)
     reader = spark.readStream.schema(feed_schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     feed = reader.parquet(feed_dir).select("source_table", "event_time")
     if skip_through is not None:
         feed = feed.where(F.col("event_time") > ntz(skip_through))
-    writer = (feed.writeStream.foreachBatch(QueueEnqueueBatch(attrs, catalog, queue_root))
+    writer = (feed.writeStream.foreachBatch(QueueEnqueueBatch(attrs, catalog, queue_root, first))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
