@@ -126,6 +126,17 @@ def test_decontamination_finds_copies_and_paraphrases(spark):
     assert decontaminate.contaminated(docs(spark, []), bench).count() == 0
 
 
+def test_decontamination_with_more_passages_than_rank(spark, monkeypatch):
+    rng = random.Random(12)
+    items = [(k, prose(rng, rng.randint(15, 59))) for k in range(290)] + [(k, prose(rng, 150)) for k in range(290, 300)]
+    texts = [prose(rng, 100) + " " + t + " " + prose(rng, 100) for _, t in items[::7]]
+    sizes, block = [], decontaminate._block
+    monkeypatch.setattr(decontaminate, "_block", lambda c, q, *a: sizes.append(q.count()) or block(c, q, *a))
+    got = decontaminate.contaminated(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} >= {(i, 7 * i) for i in range(len(texts))}
+    assert sum(sizes) == 290 + 10 * 3 and max(sizes) <= 256  # the default rank
+
+
 def test_common_subsequence_by_dynamic_programme():
     rng = random.Random(4)
     for _ in range(50):

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sinks.tables import materialize
 
+ROW_BITS = 33  # monotonically_increasing_id: partition above, place in the partition below
 LEAST_WORDS = 5  # items of fewer words cannot be told from ordinary text
 LETTERS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))  # other ASCII becomes a space
 
@@ -146,27 +147,37 @@ def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     sentence) in one piece. ``lcs`` is the best such share, ``cosine`` the best
     latent cosine and ``n_passages`` the number of benchmark passages found.
     Documents are folded in by halves of ``window`` words; a passage is two
-    halves. Candidates need a latent cosine of ``cosine``. With a ``rank`` of at
-    least the benchmark passages of a block the latent space holds each of them
-    whole; a lower rank loses candidates (measured in the README).
+    halves. Candidates need a latent cosine of ``cosine``. A block of the benchmark
+    has at most ``rank`` passages, so that its latent space holds each of them
+    whole (a lower rank loses candidates, measured in the README).
 
     Null and empty texts and items of fewer than five words give no rows. A null
     id stays null, repeated rows give repeated rows. Other columns are ignored. The
-    benchmark is a stated query set: it is taken in blocks of about
-    ``block_items`` items, each broadcast against all documents. Empty tables:
-    no rows.
+    benchmark is a stated query set: it is taken in blocks of at most ``rank``
+    passages and about ``block_items`` items, each broadcast against all
+    documents. Empty tables: no rows.
     """
+    if rank < 1 or block_items < 1:
+        raise ValueError("rank and block_items must be positive")
     spark = docs.sparkSession
     corpus = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     queries = materialize(_passages(items.select(F.col(item_id).cast("long").alias("item_id"),
-                                                 F.col(item_text).alias("text")), window), "decontaminate")
-    n_items = queries.select("item_id").distinct().count()
-    if not n_items:
+                                                 F.col(item_text).alias("text")), window)
+                          .withColumn("at", F.monotonically_increasing_id()), "decontaminate")
+    part, place = F.shiftright("at", ROW_BITS), F.col("at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    counts = queries.groupBy(part.alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()  # one row per partition
+    n_passages = sum(r["n"] for r in counts)
+    if not n_passages:
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, n_passages long")
-    blocks = -(-n_items // block_items)
+    blocks = max(-(-n_passages // rank), -(-queries.select("item_id").distinct().count() // block_items))
+    size = -(-n_passages // blocks)
+    before = dict(zip([r["p"] for r in counts], accumulate([0, *(r["n"] for r in counts)])))
+    heads = spark.createDataFrame(list(before.items()), "p long, before long")
+    queries = materialize(queries.join(F.broadcast(heads), part == F.col("p")).withColumn(
+        "block", F.floor((F.col("before") + place) / F.lit(size))).drop("p", "before"), "decontaminate")
     found = None
-    for b in range(blocks):
-        block = queries.where(F.expr(f"pmod(xxhash64(item_id, part), {blocks}) = {b}"))
+    for b in range(-(-n_passages // size)):
+        block = queries.where(F.col("block") == b)
         part = _block(corpus, block, rank, window, cosine, copied, paraphrased)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("row", "doc_id", "item_id").agg(
