@@ -23,23 +23,33 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, out="__score").where("__score < 0.5").select(*COLUMNS)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key ``__row`` of its rows, written once: ids may be null or repeated."""
+    return materialize(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()), "pipeline")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-duplicates: of each group the document of least id stays (rows without an id stay)."""
-    found = simhash.near_duplicates(docs, shingle=3, distance=3)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """SimHash near-duplicates: of each group the one row of least id stays (a row without an id only if none has one)."""
+    rows = _keyed(docs)
+    found = simhash.near_duplicates(rows, id_col="__row", shingle=3, distance=3).select(
+        F.col("doc_id").alias("__row"), "component_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    kept = found.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(F.min(rank).alias("least"))
+    return rows.join(kept.select("least.__row"), "__row", "left_semi").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: documents that hold a benchmark item go (rows without an id stay)."""
+    """Benchmark decontamination: rows that hold a benchmark item go, whatever their id."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = decontaminate.contaminated(docs, items).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rows = _keyed(docs)
+    gone = decontaminate.contaminated(rows, items, id_col="__row").select(F.col("doc_id").alias("__row")).distinct()
+    return rows.join(gone, "__row", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Temperature mixing: rare sources are repeated, at most twice; the budget keeps every document at least once."""
-    return mixing.mixed_rows(docs, tokens=mixing.n_words(F.col("text")), entropy=0.95, max_epochs=2.0).select(*COLUMNS)
+    """Temperature mixing: rare sources are repeated, at most twice; the budget keeps every row at least once."""
+    return mixing.mixed_rows(_keyed(docs), id_col="__row", tokens=mixing.n_words(F.col("text")), entropy=0.95,
+                             max_epochs=2.0).select(*COLUMNS)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

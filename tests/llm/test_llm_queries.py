@@ -1,5 +1,8 @@
 """The registered queries against their DuckDB SQL, and the pipeline's stages."""
 
+import random
+from collections import Counter
+
 import duckdb
 import pytest
 
@@ -29,3 +32,34 @@ def test_pipeline_stages(spark):
         want = stage(spark, want, SF_SMALL).select(*docs.columns)
     assert ids == {r.doc_id for r in want.select("doc_id").collect()}
     assert out.columns == [*docs.columns, "size", "shard", "slot"]
+
+
+def _prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+
+def test_pipeline_filters_decide_by_row(spark, tmp_path):
+    rng = random.Random(14)
+    items = [(k, _prose(rng, 30)) for k in range(5)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean, copy, lone = [_prose(rng, 80) for _ in range(12)], _prose(rng, 80), _prose(rng, 80)
+    leaks = [_prose(rng, 40) + " " + t + " " + _prose(rng, 40) for _, t in items]
+    texts = [(1, t) for t in clean[:6]] + [(None, t) for t in clean[6:]]  # ids that stand for many texts
+    texts += [(1, leaks[0]), (None, leaks[1]), (2, leaks[2])]
+    texts += [(None, copy), (7, copy), (7, copy), (1, copy), (None, lone), (None, lone)]
+    rows = [(i, t, "en", "rare" if k == 0 else "big", len(t)) for k, (i, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+    def bag(df):
+        return Counter((r.doc_id, r.text) for r in df.collect())
+
+    want = Counter(texts) - Counter([(1, leaks[0]), (None, leaks[1]), (2, leaks[2])])
+    assert bag(corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))) == want
+    groups = {}
+    for i, t in texts:
+        groups[t] = min(groups.get(t, (True, 0)), (i is None, i or 0))
+    assert bag(corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))) == Counter(
+        (None if none else i, t) for t, (none, i) in groups.items())
+    mixed = corpus_pipeline.mix_sources(spark, docs, str(tmp_path))
+    assert bag(mixed) >= Counter(texts) and {r.source for r in mixed.collect() if r.text == clean[0]} == {"rare"}
+    assert max(bag(mixed)[i, t] / n for (i, t), n in Counter(texts).items()) <= 2
