@@ -126,6 +126,21 @@ def test_decontamination_finds_copies_and_paraphrases(spark):
     assert decontaminate.contaminated(docs(spark, []), bench).count() == 0
 
 
+def test_decontamination_finds_paraphrases_of_one_sentence(spark):
+    rng = random.Random(13)
+    items = [(k, prose(rng, rng.randint(15, 59))) for k in range(20)] + [
+        (k, prose(rng, 30) + ". " + prose(rng, 12) + ".") for k in range(20, 30)]
+    texts = []
+    for k, t in items:
+        words = t.split()  # every fourth word replaced, the last one too; of items 20 to 24 the whole last sentence
+        body = [w if (len(words) - j) % 4 != 1 else "zzz" for j, w in enumerate(words)] if not 20 <= k < 25 else [
+            w if j < 30 else "zzz" for j, w in enumerate(words)]
+        texts.append(prose(rng, 50) + " " + " ".join(body) + " " + prose(rng, 50))
+    got = decontaminate.contaminated(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(k, k) for k in range(30) if not 20 <= k < 25}
+    assert all(0.5 <= r.lcs < 0.8 for r in got)
+
+
 def test_decontamination_with_more_passages_than_rank(spark, monkeypatch):
     rng = random.Random(12)
     items = [(k, prose(rng, rng.randint(15, 59))) for k in range(290)] + [(k, prose(rng, 150)) for k in range(290, 300)]

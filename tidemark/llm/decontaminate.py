@@ -23,6 +23,8 @@ from tidemark.sinks.tables import materialize
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, place in the partition below
 LEAST_WORDS = 5  # items of fewer words cannot be told from ordinary text
+ANSWER_WORDS, ANSWER_SHARE = 8, 4  # an answer is checked by at most so many words, and one in so many of the passage's
+ANSWER_LEAST = 3  # one in so many of them must be there
 LETTERS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))  # other ASCII becomes a space
 
 
@@ -40,6 +42,24 @@ def answer_of(text: str, least: int = 4) -> list[bytes]:
     return words[-max(least, len(last)):]
 
 
+def telling_words(answer: list[bytes], n: int) -> list[bytes]:
+    """The longest words of an answer, in its order, for a passage of ``n`` words.
+
+    Not those of greatest IDF: words that a paraphrase replaced are rarer in the corpus for that very reason.
+    """
+    most = min(ANSWER_WORDS, -(-n // ANSWER_SHARE))
+    best = sorted(range(len(answer)), key=lambda i: (-len(answer[i]), -i))[:most]
+    return [answer[i] for i in sorted(best)]
+
+
+def places_of(words: list[bytes]) -> dict[bytes, int]:
+    """A word's places as bits, as ``common_words`` takes them."""
+    bits: dict[bytes, int] = {}
+    for i, w in enumerate(words):
+        bits[w] = bits.get(w, 0) | 1 << i
+    return bits
+
+
 def common_words(item: dict[bytes, int], n: int, region: list[bytes]) -> int:
     """Length of the longest common subsequence; ``item`` maps a word to the bits of its places, ``n`` long."""
     full = (1 << n) - 1
@@ -143,8 +163,9 @@ def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
 
     A pair is reported if a candidate passage has a longest common subsequence
     of at least ``copied`` of the benchmark passage's words, or of at least
-    ``paraphrased`` of them with the words of the item's answer (its last
-    sentence) in one piece. ``lcs`` is the best such share, ``cosine`` the best
+    ``paraphrased`` of them with the item's answer: of at most eight words, the
+    longest of its last sentence, a third by their own longest common
+    subsequence. ``lcs`` is the best such share, ``cosine`` the best
     latent cosine and ``n_passages`` the number of benchmark passages found.
     Documents are folded in by halves of ``window`` words; a passage is two
     halves. Candidates need a latent cosine of ``cosine``. A block of the benchmark
@@ -206,10 +227,10 @@ def _block(corpus: DataFrame, queries: DataFrame, rank: int, window: int, least:
     folded /= np.maximum(np.linalg.norm(folded, axis=1, keepdims=True), 1e-12)
     places = []
     for p in passages:
-        bits: dict[bytes, int] = {}
-        for i, w in enumerate(p["words"]):
-            bits[bytes(w)] = bits.get(bytes(w), 0) | 1 << i
-        places.append((p["item_id"], bits, len(p["words"]), b" " + b" ".join(map(bytes, p["answer"])) + b" "))
+        own = [bytes(w) for w in p["words"]]
+        tail = [bytes(w) for w in p["answer"]][-len(own):]
+        answer = telling_words(tail, len(own))
+        places.append((p["item_id"], places_of(own), len(own), places_of(answer), len(answer)))
     shared = spark.sparkContext.broadcast((number, space, np.ascontiguousarray(folded.T), places))
     half = window // 2
 
@@ -232,12 +253,12 @@ def _block(corpus: DataFrame, queries: DataFrame, rank: int, window: int, least:
                 cos = folds @ q
                 best: dict[int, tuple[float, float]] = {}
                 for k, j in zip(*np.nonzero(cos >= least)):
-                    _, bits, n, answer = queries_[j]
+                    _, bits, n, answer, m = queries_[j]
                     region = words[max(0, k * half - half):k * half + window + half]
                     share = common_words(bits, n, region) / n
                     if share < paraphrased or share <= best.get(j, (0.0, 0.0))[1]:
                         continue
-                    if share >= copied or len(answer) > 2 and answer in b" " + b" ".join(region) + b" ":
+                    if share >= copied or m and common_words(answer, m, region) >= max(1, m // ANSWER_LEAST):
                         best[j] = (max(float(cos[k, j]), best.get(j, (0.0, 0.0))[0]), share)
                 out += [(r, queries_[j][0], c, s) for j, (c, s) in best.items()]
             if out:
