@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -79,30 +80,52 @@ def test_mixing_empty_null_and_repeated(spark):
 
 
 # ---------------------------------------------------------------- 2 tokens
-def test_token_attribution_adds_up(spark):
+def counted(enc, parts, rule):
+    """Tokens of each section and those that reach beyond it, token by token and character by character."""
+    owner = []  # the section of each character
+    for k, part in enumerate(parts):
+        lines = re.findall("[^\n]*\n|[^\n]+", part) or [""]
+        if k < len(parts) - 1:
+            lines[-1] += "\n"  # the joiner
+        owner += [(k, n) for n, line in enumerate(lines) for _ in line]
+    text, n, beyond, at = "\n".join(parts), Counter(), Counter(), 0
+    place = [i for i, c in enumerate(text) for _ in c.encode()]  # the character of each byte
+    for tok in enc.bpe.encode(text).tolist():
+        chars = [owner[c] for c in sorted(set(place[at:at + int(enc.width[tok])]))]
+        first = {"start": chars[0], "end": chars[-1]}.get(rule) or max(dict.fromkeys(chars), key=chars.count)
+        n[first] += 1
+        beyond[first] += len(set(chars)) > 1
+        at += int(enc.width[tok])
+    return n, beyond
+
+
+@pytest.mark.parametrize("rule", tokens.RULES)
+def test_token_attribution_by_characters(spark, rule):
     rng = random.Random(2)
-    texts = ODD + [prose(rng, 200).replace(" g", "\n\n g").replace("a", "é") for _ in range(5)] + ["\n", "a\n", "\n\nb"]
-    df = docs(spark, texts, extra=["section", "field"])
+    texts = [t for t in ODD if t is None or len(t) < 1000] + ["\n", "a\n", "\n\nb", "a\n\n\nb  \n \n c", "été\n\n\n\nx"]
+    texts += [prose(rng, 100).replace(" g", "\n\n g").replace(" f", "\n\n\n").replace("a", "é") for _ in range(5)]
+    ids = [None if i == 3 else i for i in range(len(texts))]
+    df = docs(spark, texts, ids=ids, extra=["section", "field"]).withColumn("title", F.concat("source", F.lit("\n\n")))
     enc = tokens.Encoder(open(tokens.VOCABULARY, "rb").read())
-    for rule in tokens.RULES:
-        got = tokens.section_tokens(df, fields=["text"], rule=rule).collect()
-        for i, t in enumerate(texts):
-            mine = sorted((r for r in got if r.doc_id == i), key=lambda r: r.section)
-            assert sum(r.n_tokens for r in mine) == len(enc.bpe.encode_ordinary(t or ""))
-            assert sum(r.n_chars for r in mine) == len(t or "")
-            if rule == "start" and t and i > 10:  # brute force: the section of each token's first character
-                want, at = Counter(), 0
-                for tok in enc.bpe.encode_ordinary(t):
-                    char = len(t.encode()[:at + 1].decode("utf-8", "ignore")) if t.encode()[at] & 0xC0 == 0x80 else \
-                        len(t.encode()[:at].decode("utf-8", "ignore"))
-                    want[sum(r.start_char <= char for r in mine) - 1] += 1
-                    at += int(enc.width[tok])
-                assert [want[r.section] for r in mine] == [r.n_tokens for r in mine]
-    two = tokens.section_tokens(df, fields=["source", "text"]).collect()
-    assert {r.field for r in two} == {"source", "text"}
+    titles = {r.doc_id: r.title for r in df.collect()}
+    for fields in (["text"], ["title", "text", "lang"]):
+        got = tokens.section_tokens(df, fields=fields, rule=rule).collect()
+        for i, t in zip(ids, texts):
+            parts = [{"text": t, "title": titles[i], "lang": "en"}[f] or "" for f in fields]
+            n, beyond = counted(enc, parts, rule)
+            mine = [r for r in got if r.doc_id == i]
+            assert sum(r.n_chars for r in mine) == len("\n".join(parts))
+            assert {(fields.index(r.field), r.section): (r.n_tokens, r.n_crossing) for r in mine if r.n_tokens} == {
+                k: (v, beyond[k]) for k, v in n.items()}
     assert tokens.section_tokens(docs(spark, [])).count() == 0
 
 
+def test_token_counts_of_very_long_blanks(spark):
+    df = docs(spark, [c * 2_000_000 + "x" for c in " \t"] + ["a" + "\n" * 1_200_000])
+    got = tokens.section_tokens(df, separator="\r").collect()
+    assert sorted(r.n_chars for r in got) == [1_200_001, 2_000_001, 2_000_001] and all(r.n_tokens > 1000 for r in got)
+
+
 # ---------------------------------------------------------------- 3 decontamination
 def test_decontamination_finds_copies_and_paraphrases(spark):
     rng = random.Random(3)

@@ -13,12 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the public word pattern of the byte-level BPE vocabulary.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from tidemark.llm.bpe import ByteBPE
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 RULES = ("start", "end", "longest")
 
@@ -28,13 +27,13 @@ class Encoder:
 
     def __init__(self, ranks_file: bytes) -> None:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_file.splitlines())}
-        self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.bpe = ByteBPE(ranks)
         self.width = np.zeros(max(ranks.values()) + 1, np.int64)
         self.width[list(ranks.values())] = [len(t) for t in ranks]
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Character spans of the tokens; a token inside a character covers that character."""
-        ids = np.asarray(self.bpe.encode_ordinary(text), np.int64)
+        ids = self.bpe.encode(text)
         ends = np.cumsum(self.width[ids])
         starts = ends - self.width[ids]
         if text.isascii():
