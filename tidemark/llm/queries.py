@@ -1,4 +1,4 @@
-"""The ten operators as registered queries, with DuckDB SQL where SQL can express them."""
+"""The operators as registered queries, with DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     decontaminate,
     embeddings,
     licenses,
@@ -93,9 +94,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"), licenses.templates_frame(spark))
 
 
+TOKENIZERS = "/opt/tokenizers"  # the folder of the public vocabulary files
+
+
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(_table(spark, sf_dir, "documents"), bpe_vocabulary=f"{TOKENIZERS}/byte_bpe_50k.json",
+                              piece_vocabulary=f"{TOKENIZERS}/piece_bpe_32k.model")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups"), 256))
+    digested = aligned.select("doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "links")
+    return alignment.link_scores(digested).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                                                  "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_token_counts, op3_decontaminate, op4_url_filter, op5_substring_dedup, op6_toxicity,
-    op7_shard_by_bytes, op8_embedding_near_dedup, op9_simhash_near_dedup, op10_license_scan)}
+    op7_shard_by_bytes, op8_embedding_near_dedup, op9_simhash_near_dedup, op10_license_scan, op11_align_tokenizers)}
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
 
