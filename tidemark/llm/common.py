@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.sinks.tables import materialize
 
@@ -18,6 +19,23 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in low])
 
 
+def running_totals(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``df``, written once, with ``out``: the sum of ``value`` over the rows before, in the order written.
+
+    Totals per partition, one row each, give every partition its offset; rows
+    are only summed within their partition. Columns ``__at`` and ``__part`` must not be in ``df``.
+    """
+    table = materialize(df.withColumn("__at", F.monotonically_increasing_id()), "totals").withColumn(
+        "__part", F.shiftright("__at", 33))  # the partition is above the place of a row in it
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    heads = (table.groupBy("__part").agg(F.sum(value).alias("__sum"))
+             .select("__part", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__head")))
+    inside = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    return (table.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+            .join(F.broadcast(heads), "__part")  # one row per partition
+            .withColumn(out, (F.col(out) + F.col("__head")).cast("long")).drop("__at", "__part", "__head"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph: ``(node, component)``.
 

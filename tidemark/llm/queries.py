@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
     alignment,
+    codes,
     decontaminate,
     embeddings,
     licenses,
     mixing,
+    packing,
     sharding,
     simhash,
     substrings,
@@ -106,9 +110,21 @@ def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                   "groups_sha256")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(_table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+    digest = hashlib.sha256(codes.codebook_text(books).encode()).hexdigest()
+    return codes.label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op13_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary=f"{TOKENIZERS}/word_bpe_49k.json", end_id=2,
+                        window=4096)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_token_counts, op3_decontaminate, op4_url_filter, op5_substring_dedup, op6_toxicity,
-    op7_shard_by_bytes, op8_embedding_near_dedup, op9_simhash_near_dedup, op10_license_scan, op11_align_tokenizers)}
+    op7_shard_by_bytes, op8_embedding_near_dedup, op9_simhash_near_dedup, op10_license_scan, op11_align_tokenizers,
+    op12_vector_codes, op13_pack_sequences)}
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -242,4 +258,37 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
 FROM sharded"""
 
-ORACLE_SQL = {"op7_shard_by_bytes": _OP7, "op8_embedding_near_dedup": _OP8, "op10_license_scan": _OP10, "op1_mix_sources": _OP1, "op4_url_filter": _OP4, "op5_substring_dedup": _OP5}
+def _op12() -> str:
+    """Six rounds over the parts of every vector, round by round; a floored mean is the sum less its modulus, divided."""
+    steps = ["""
+WITH fine AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding::DOUBLE[], lambda x: floor(4096 * x)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, vec_id, k, v[k * (len(v) // 8) + 1:(k + 1) * (len(v) // 8)] AS p FROM fine, range(0, 8) t(k)),
+b0 AS MATERIALIZED (
+  SELECT k, i, p AS e FROM (SELECT k, p, row_number() OVER (PARTITION BY k ORDER BY vec_id) - 1 AS i FROM parts) WHERE i < 16)"""]
+    for n in range(7):
+        steps.append(f"""
+d{n} AS MATERIALIZED (
+  SELECT r, k, min(d * 16 + i) AS m FROM (
+    SELECT r, k, i, list_sum(list_transform(list_zip(p, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts JOIN b{n} USING (k)) GROUP BY r, k)""")
+        if n < 6:
+            steps.append(f"""
+s{n} AS (
+  SELECT k, m % 16 AS i, j, sum(p[j])::BIGINT AS s, count(*) AS c FROM parts JOIN d{n} USING (r, k), range(1, 9) q(j)
+  WHERE j <= len(p) GROUP BY ALL),
+b{n + 1} AS MATERIALIZED (
+  SELECT b.k, b.i, coalesce(m.e, b.e) AS e FROM b{n} b LEFT JOIN (
+    SELECT k, i, list((s - ((s % c) + c) % c) // c ORDER BY j) AS e FROM s{n} GROUP BY k, i) m ON m.k = b.k AND m.i = b.i)""")
+    return ",".join(steps) + """,
+coded AS (
+  SELECT r, string_agg(lower(printf('%02x', m % 16)), '' ORDER BY k) AS code, sum(m // 16)::BIGINT AS error FROM d6 GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       sha256((SELECT string_agg(array_to_string(e, ','), ',' ORDER BY k, i) FROM b6)) AS codebooks_sha256
+FROM fine JOIN coded USING (r)"""
+
+
+ORACLE_SQL = {"op12_vector_codes": _op12(), "op7_shard_by_bytes": _OP7, "op8_embedding_near_dedup": _OP8, "op10_license_scan": _OP10, "op1_mix_sources": _OP1, "op4_url_filter": _OP4, "op5_substring_dedup": _OP5}
