@@ -67,7 +67,7 @@ class Aligner:
         for text, b in zip(texts, self.pieces.encode(texts, num_threads=1)):
             whole = " " + text
             raw, a = whole.encode("utf-8", "replace"), self.bpe.encode(whole)
-            same = self.a.joined(a.tolist()) == raw and self.b.joined(b) == raw
+            same = self.bpe.joined(a.tolist()) == raw and self.b.joined(b) == raw
             yield (a, np.array(b, np.int64)) if text and same else None
 
     def shared(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -75,9 +75,9 @@ class Aligner:
         ends_a, ends_b = np.cumsum(self.a.width[a]), np.cumsum(self.b.width[b])
         at_a = dict(zip(ends_a.tolist(), range(len(a))))
         at_b = dict(zip(ends_b.tolist(), range(len(b))))
-        common = sorted(at_a.keys() & at_b.keys())
-        last_a = np.fromiter(map(at_a.__getitem__, common), np.int64, len(common))
-        last_b = np.fromiter(map(at_b.__getitem__, common), np.int64, len(common))
+        common = [end for end in at_a if end in at_b]  # in order, as ends only grow
+        last_a = np.array([at_a[end] for end in common], np.int64)
+        last_b = np.array([at_b[end] for end in common], np.int64)
         return ends_a, ends_b, last_a, last_b
 
     def groups_text(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
@@ -101,8 +101,11 @@ class Aligner:
         link. All slices of a text are expanded together, as none reaches into
         another.
         """
-        ends = np.unique(np.concatenate((ends_a, ends_b)))
-        pairs = a[np.searchsorted(ends_a, ends)] * len(self.b.bytes) + b[np.searchsorted(ends_b, ends)]
+        cut_a, cut_b = np.zeros(ends_a[-1] + 1, np.int8), np.zeros(ends_a[-1] + 1, np.int8)
+        cut_a[ends_a] = cut_b[ends_b] = 1
+        ends = np.flatnonzero(cut_a | cut_b)
+        own_a, own_b = (np.cumsum(c, dtype=np.int32)[ends - 1] for c in (cut_a, cut_b))  # tokens that end before
+        pairs = a[own_a] * len(self.b.bytes) + b[own_b]
         pairs, n = np.unique(pairs, return_counts=True)
         return pairs // len(self.b.bytes), pairs % len(self.b.bytes), n
 
