@@ -38,6 +38,12 @@ def epoch_seconds(ts: Column) -> Column:
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
+def event_instant(ts: Column) -> Column:
+    """A zone-free ``timestamp_ntz`` as the ``timestamp`` of the same UTC wall time, which watermarks need."""
+    fraction = (F.date_part(F.lit("SECONDS"), ts) * 1_000_000 % 1_000_000).cast("bigint")
+    return F.timestamp_micros(epoch_seconds(ts) * 1_000_000 + fraction)
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Whole seconds from ``start`` to ``end``, both truncated to seconds first."""
     return epoch_seconds(end) - epoch_seconds(start)

@@ -78,7 +78,10 @@ SELECT o_orderkey, o_custkey, o_orderstatus,
 SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'""",
 }
 
-VIEWS["records"] = """
+
+def records_sql(feed: str = "incoming", attrs: str = "attrs") -> str:
+    """One queue record for each table of a feed that has enabled attributes."""
+    return f"""
 SELECT c.source_table,
   CASE WHEN len(string_split(coalesce(nullif(a.target_table, ''), c.source_table), '.')) = 3
        THEN coalesce(nullif(a.target_table, ''), c.source_table)
@@ -87,20 +90,53 @@ SELECT c.source_table,
   CAST(NULL AS TIMESTAMP) AS trigger_time, a.strategy, true AS lock_rows, 'Q' AS status, a.priority,
   CASE WHEN c.n > 1 THEN c.last_time END AS event_time_latest
 FROM (SELECT source_table, min(event_time) AS first_time, max(event_time) AS last_time, count(*) AS n
-      FROM incoming GROUP BY source_table) c
-JOIN attrs a ON a.source_table = c.source_table
+      FROM {feed} GROUP BY source_table) c
+JOIN {attrs} a ON a.source_table = c.source_table
 WHERE a.disabled = false"""
-VIEWS["upserted"] = """
+
+
+def upserted_sql(queue: str = "queue", records: str = "records") -> str:
+    """The queue after its records are merged into it."""
+    return f"""
 SELECT q.source_table, q.target_table, q.where_clause, q.primary_key, q.event_time, q.trigger_time, q.strategy,
   q.lock_rows, q.status,
   CASE WHEN r.source_table IS NOT NULL THEN r.priority ELSE q.priority END AS priority,
   CASE WHEN r.source_table IS NOT NULL
        THEN (SELECT max(x) FROM (VALUES (q.event_time_latest), (q.event_time), (r.event_time_latest), (r.event_time)) v(x))
        ELSE q.event_time_latest END AS event_time_latest
-FROM queue q LEFT JOIN records r ON q.source_table = r.source_table AND q.status = 'Q'
+FROM {queue} q LEFT JOIN {records} r ON q.source_table = r.source_table AND q.status = 'Q'
+UNION ALL
+SELECT r.* FROM {records} r
+WHERE NOT EXISTS (SELECT 1 FROM {queue} q WHERE q.source_table = r.source_table AND q.status = 'Q')"""
+
+
+def claimed_queue_sql(queue: str, claims: str, as_of: str) -> str:
+    """The queue after claims: their rows run since ``as_of``."""
+    return f"""
+SELECT q.source_table, q.target_table, q.where_clause, q.primary_key, q.event_time,
+  CASE WHEN c.source_table IS NOT NULL THEN TIMESTAMP '{as_of}' ELSE q.trigger_time END AS trigger_time,
+  q.strategy, q.lock_rows, CASE WHEN c.source_table IS NOT NULL THEN 'R' ELSE q.status END AS status,
+  q.priority, q.event_time_latest
+FROM {queue} q LEFT JOIN {claims} c ON q.source_table = c.source_table AND q.event_time = c.event_time"""
+
+
+def claimed_history_sql(history: str, claims: str, as_of: str) -> str:
+    """The history after claims: each has a running row, in the place of a finished one of the same key."""
+    return f"""
+SELECT * FROM {history} h
+WHERE h.status = 'RUNNING'
+   OR NOT EXISTS (SELECT 1 FROM {claims} c WHERE c.source_table = h.source_table AND c.event_time = h.event_time)
 UNION ALL
-SELECT r.* FROM records r
-WHERE NOT EXISTS (SELECT 1 FROM queue q WHERE q.source_table = r.source_table AND q.status = 'Q')"""
+SELECT c.source_table, c.target_table, c.where_clause, c.primary_key, 'RUNNING', c.event_time,
+  TIMESTAMP '{as_of}', CAST(NULL AS TIMESTAMP), CAST(NULL AS DOUBLE), c.strategy, c.lock_rows, c.priority,
+  CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT)
+FROM {claims} c
+WHERE NOT EXISTS (SELECT 1 FROM {history} h WHERE h.source_table = c.source_table AND h.event_time = c.event_time
+                    AND h.status = 'RUNNING')"""
+
+
+VIEWS["records"] = records_sql()
+VIEWS["upserted"] = upserted_sql()
 VIEWS["completions"] = """
 SELECT source_table, event_time, CASE WHEN priority % 2 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
   TIMESTAMP '2024-01-20 00:45:30' AS finish_time,
