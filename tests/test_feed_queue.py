@@ -255,9 +255,9 @@ def test_attr_lines_arity_and_text_fields(spark):
 def test_quotes_in_values_are_kept(spark):
     queue = spark.createDataFrame([], QUEUE)
     f = feed(spark, [("S.A", T0)])
-    a = attrs(spark, [("S.A", "C.S.A", "s", None, "id", "Write'NOS", False, 1, 0, 60)])
+    a = attrs(spark, [("S.A", "C.S.A", "s", None, "i'd", "WriteNOS", False, 1, 0, 60)])
     out = qops.queue_upsert(queue, feedops.enqueue_from_feed(f, a, "main")).first()
-    assert out.strategy == "Write'NOS"
+    assert out.primary_key == "i'd"
 
 
 def test_enqueue_records_take_the_cdc_plan(spark):

@@ -11,7 +11,7 @@ import __spark_entry__ as E
 from tidemark.plans import registry
 from tests.conftest import SF_SMALL
 
-TABLES = ["customer", "orders", "events", "lineitem"]
+TABLES = ["customer", "orders", "events", "lineitem", "supplier", "part", "nation"]
 _DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
                "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 

@@ -40,3 +40,14 @@ def staleness_tier(staleness_m: Column, min_staleness: Column, max_staleness: Co
 
 def weighted_priority(tier: Column, base_priority: Column) -> Column:
     return (tier * base_priority).cast("int")
+
+
+def next_step(staleness_m: Column, min_staleness: Column, max_staleness: Column) -> Column:
+    """The next whole minute of staleness at which the tier may change (null: it stays for good).
+
+    That is where the table stops being hidden, or where its slack no longer
+    passes the highest limit that it passes now.
+    """
+    ends = [max_staleness - F.lit(limit) for limit, _ in TIER_STEPS]
+    after = F.least(*[F.when(e > staleness_m, e) for e in ends], F.lit(None).cast("long"))
+    return F.when(staleness_m < min_staleness, min_staleness.cast("long")).otherwise(after.cast("long"))

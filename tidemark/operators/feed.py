@@ -65,26 +65,23 @@ ATTR_FIELDS = ["source_table", "target_table", "ingestion_strategy", "cdc_waterm
 def attrs_from_lines(lines: DataFrame, column: str = "value", sep: str = ",") -> DataFrame:
     """Attribute rows from delimited text lines (e.g. ``spark.read.text``), all fields as text.
 
-    Empty fields become null; ``_tm_fields`` keeps the field count so that
-    ``validate_attrs`` can reject lines with the wrong number of fields.
+    A field in double quotes may hold the separator, as a composite primary key
+    does. Empty fields become null; ``_tm_fields`` is the number of fields, or 0
+    for a line with another number, which ``validate_attrs`` rejects.
     """
-    parts = F.split(F.col(column), sep, -1)
-    cols = [empty_to_null(F.trim(F.try_element_at(parts, F.lit(i + 1)))).alias(name)
-            for i, name in enumerate(ATTR_FIELDS)]
-    return lines.select(*cols, F.size(parts).alias("_tm_fields"))
+    schema = ", ".join(f"{name} string" for name in [*ATTR_FIELDS, "_tm_wrong"])
+    row = F.from_csv(F.col(column), schema, {"sep": sep, "columnNameOfCorruptRecord": "_tm_wrong"})
+    cols = [empty_to_null(F.trim(F.col(f"_tm_line.{name}"))).alias(name) for name in ATTR_FIELDS]
+    whole = (F.trim(F.col(column)) != "") & F.col("_tm_line").isNotNull() & F.col("_tm_line._tm_wrong").isNull()
+    return lines.select(column, row.alias("_tm_line")).select(
+        *cols, F.when(whole, len(ATTR_FIELDS)).otherwise(0).alias("_tm_fields"))
 
 
-def validate_attrs(raw: DataFrame) -> DataFrame:
-    """Typed attribute rows plus ``valid`` and ``reject_reason`` (null when valid).
-
-    Rules: source and target have 2 or 3 name parts (empty target falls back to
-    the source), strategy is one of TPT / WriteNOS / JDBC, ``disabled`` is a
-    boolean or 'true'/'false' text, priority and max_staleness are given, a
-    missing min_staleness is 0, and a source_table appears once.
-    """
+def _checked(df: DataFrame, copies) -> DataFrame:
+    """Typed attribute columns of ``df`` plus ``valid`` and ``reject_reason``."""
     src = F.col("source_table")
     tgt = F.coalesce(empty_to_null(F.col("target_table")), src)
-    disabled_type = raw.schema["disabled"].dataType
+    disabled_type = df.schema["disabled"].dataType
     if isinstance(disabled_type, T.BooleanType):
         disabled, disabled_ok = F.col("disabled"), F.lit(True)
     else:
@@ -92,10 +89,8 @@ def validate_attrs(raw: DataFrame) -> DataFrame:
         disabled_ok = disabled.isNotNull()
     priority = F.col("priority").try_cast("int")
     min_st, max_st = F.col("min_staleness").try_cast("int"), F.col("max_staleness").try_cast("int")
-    dups = raw.groupBy("source_table").agg(F.count(F.lit(1)).alias("_tm_copies"))
-    j = raw.join(dups, "source_table", "left")
     arity = (F.when(F.col("_tm_fields") != len(ATTR_FIELDS), F.lit(f"line must have {len(ATTR_FIELDS)} fields"))
-             if "_tm_fields" in raw.columns else F.lit(None).cast("string"))
+             if "_tm_fields" in df.columns else F.lit(None).cast("string"))
     reasons = F.concat_ws("; ", arity,
         F.when(~name_parts(src).isin(2, 3), F.lit("source_table must have 2 or 3 name parts")),
         F.when(~name_parts(tgt).isin(2, 3), F.lit("target_table must have 2 or 3 name parts")),
@@ -105,9 +100,9 @@ def validate_attrs(raw: DataFrame) -> DataFrame:
         F.when(priority.isNull(), F.lit("priority is required")),
         F.when(max_st.isNull(), F.lit("max_staleness is required")),
         F.when(F.col("min_staleness").isNotNull() & min_st.isNull(), F.lit("min_staleness must be a number")),
-        F.when(F.col("_tm_copies") > 1, F.lit("duplicate source_table")),
+        F.when(copies > 1, F.lit("duplicate source_table")),
     )
-    return j.select(
+    return df.select(
         src.alias("source_table"), tgt.alias("target_table"), "ingestion_strategy", "cdc_watermark",
         "primary_key", "strategy", disabled.alias("disabled"), priority.alias("priority"),
         F.coalesce(min_st, F.lit(0)).alias("min_staleness"),
@@ -116,6 +111,45 @@ def validate_attrs(raw: DataFrame) -> DataFrame:
     )
 
 
+def validate_attrs(raw: DataFrame) -> DataFrame:
+    """Typed attribute rows plus ``valid`` and ``reject_reason`` (null when valid).
+
+    Rules: source and target have 2 or 3 name parts (empty target falls back to
+    the source), strategy is one of TPT / WriteNOS / JDBC, ``disabled`` is a
+    boolean or 'true'/'false' text, priority and max_staleness are given, a
+    missing min_staleness is 0, and a source_table appears once.
+    """
+    dups = raw.groupBy("source_table").agg(F.count(F.lit(1)).alias("_tm_copies"))
+    return _checked(raw.join(dups, "source_table", "left"), F.col("_tm_copies"))
+
+
+def _not_disabled(attrs: DataFrame) -> DataFrame:
+    """Rows that do not say they are disabled (a flag that cannot be read does not)."""
+    flag = F.col("disabled")
+    if not isinstance(attrs.schema["disabled"].dataType, T.BooleanType):
+        return attrs.where(~F.coalesce(parse_flag(flag), F.lit(False)))
+    return attrs.where(flag == F.lit(False))
+
+
+def lookup_attrs(attrs: DataFrame) -> DataFrame:
+    """One checked row per table that is not disabled: typed columns, ``valid``, ``reject_reason``.
+
+    A table that stands there more than once is one rejected row, never two
+    queue records. One grouping by the table, whose placement the join that
+    follows uses again.
+    """
+    own = _not_disabled(attrs)
+    rest = [c for c in own.columns if c != "source_table"]
+    one = own.groupBy("source_table").agg(F.count(F.lit(1)).alias("_tm_copies"), F.min(F.struct(*rest)).alias("_tm_row"))
+    return _checked(one.select("source_table", "_tm_row.*", "_tm_copies"), F.col("_tm_copies"))
+
+
+def enqueue_rejects(feed: DataFrame, attrs: DataFrame) -> DataFrame:
+    """Tables of a feed that are not enqueued because their attributes are no good: ``source_table, reject_reason``."""
+    return (lookup_attrs(attrs).where(~F.col("valid")).join(table_names(feed), "source_table", "left_semi")
+            .select("source_table", "reject_reason"))
+
+
 def enqueue_records(coalesced: DataFrame, attrs: DataFrame, catalog: str,
                     plan: DataFrame | None = None) -> DataFrame:
     """Queue records (full queue schema) for coalesced feed rows with enabled attributes.
@@ -123,8 +157,10 @@ def enqueue_records(coalesced: DataFrame, attrs: DataFrame, catalog: str,
     Target falls back to the source and gets the catalog prefix unless it has
     3 parts. ``plan`` (source_table, strategy, where_clause), when given,
     overrides the configured strategy and sets the predicate (see planning).
+    Attributes are checked here: tables whose row is not valid, or that have
+    several, get no record (``enqueue_rejects`` lists them).
     """
-    a = enabled(attrs).select("source_table", F.col("target_table").alias("_tm_target"),
+    a = lookup_attrs(attrs).where("valid").select("source_table", F.col("target_table").alias("_tm_target"),
                               F.col("primary_key").alias("_tm_pk"), F.col("strategy").alias("_tm_strategy"),
                               F.col("priority").alias("_tm_priority"))
     j = coalesced.join(a, "source_table")

@@ -82,8 +82,9 @@ def merge_pk(target: DataFrame, source: DataFrame, primary_key: str | Sequence[s
     payload = typed_projection(source, payload_schema(target))
     s_keys = payload.where(~_any_null(keys)).select(*keys)
     extra = [c for c in target.columns if c not in payload.columns]
-    if extra:
-        payload = payload.join(target.select(*keys, *extra), keys, "left")
+    if extra:  # a key that the target holds more than once gives one row, the last in order of the kept columns
+        kept = target.where(~_any_null(keys)).groupBy(*keys).agg(F.max(F.struct(*extra)).alias("_tm_kept"))
+        payload = payload.join(kept, keys, "left").select(*payload.columns, *[F.col(f"_tm_kept.{c}").alias(c) for c in extra])
     return target.join(s_keys, keys, "left_anti").unionByName(payload, allowMissingColumns=True)
 
 

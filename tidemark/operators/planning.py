@@ -57,7 +57,10 @@ def cdc_plan(source: DataFrame, target: DataFrame, table_col: str, cdc_col: str,
 
 
 def cdc_extract(source: DataFrame, plan: DataFrame, table_col: str, cdc_col: str) -> DataFrame:
-    """Source rows at or above their table's mark (all rows of a table without one)."""
+    """Source rows at or above their table's mark (all rows of a table without one).
+
+    ``plan`` needs the table and its ``hwm``: a ``cdc_plan``, or just ``high_water_marks``.
+    """
     marks = plan.select(table_col, F.col("hwm").alias("_tm_hwm"))
     j = source.join(marks, table_col, "left")
     return j.where(F.col("_tm_hwm").isNull() | (F.col(cdc_col) >= F.col("_tm_hwm"))).select(*source.columns)

@@ -162,3 +162,17 @@ def split_rejects(df: DataFrame, target_schema: T.StructType) -> tuple[DataFrame
     good = flagged.where(~F.col("_tm_bad")).select(*[casts[f.name].alias(f.name) for f in target_schema.fields])
     rejects = flagged.where(F.col("_tm_bad")).drop("_tm_bad")
     return good, rejects
+
+
+def with_reject_reason(df: DataFrame, target_schema: T.StructType, reason: str = "reject_reason") -> DataFrame:
+    """Typed columns of the target, the payload's own text as ``raw`` and why a row is rejected (null: it is not).
+
+    A row is rejected when a non-null value does not cast; the reason names the columns and their types.
+    """
+    casts = {f.name: F.col(_resolve(df, f.name)).try_cast(f.dataType) for f in target_schema.fields}
+    wrong = [F.when(F.col(_resolve(df, f.name)).isNotNull() & casts[f.name].isNull(),
+                    F.lit(f"{f.name} is not {f.dataType.simpleString()}")) for f in target_schema.fields]
+    raw = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    text = F.concat_ws("; ", *wrong)
+    return df.select(*[casts[f.name].alias(f.name) for f in target_schema.fields],
+                     F.when(text != "", raw).alias("raw"), F.when(text != "", text).alias(reason))

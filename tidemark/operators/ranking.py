@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.staleness import staleness_minutes, staleness_tier, weighted_priority
+from tidemark.functions.staleness import next_step, staleness_minutes, staleness_tier, weighted_priority
 from tidemark.functions.timeexpr import ntz
 from tidemark.schemas import DIRECT, QUEUED, STAGED
 from tidemark.sinks.tables import materialize
@@ -210,3 +210,22 @@ def next_eligible(queue: DataFrame, attrs: DataFrame, as_of) -> DataFrame:
         F.struct(-F.col("priority"), "event_time", "source_table")).alias("_tm_best"))
     few = materialize(best.select("strategy", "_tm_best.*"), "claims")
     return with_priority_rank(few, rows).select(*RANK_COLUMNS, "rank")
+
+
+def changed_priorities(queue: DataFrame, attrs: DataFrame, start, end) -> DataFrame:
+    """Queued rows whose weighted priority differs between two instants: ``source_table, event_time, before, after``.
+
+    ``before`` and ``after`` are null where the row is not eligible. A row's tier
+    is a step function of whole minutes of staleness, so the first minute at
+    which it leaves its step after ``start`` is known from the row alone; only rows whose
+    step ends by ``end`` are weighed again. Rows that come back to the same weight in between do not count.
+    """
+    s = with_staleness(queue.where(F.col("status") == QUEUED), attrs, start)
+    end_m = staleness_minutes(F.col("event_time"), _as_instant(end))
+    moved = s.withColumn("_tm_end", end_m).where(
+        next_step(F.col("staleness_m"), F.col("min_staleness"), F.col("max_staleness")) <= F.col("_tm_end"))
+    later = staleness_tier(F.col("_tm_end"), F.col("min_staleness"), F.col("max_staleness"))
+    weights = moved.select("source_table", "event_time", weighted_priority(F.col("tier"), F.col("priority")).alias("b"),
+                           weighted_priority(later, F.col("priority")).alias("a"))
+    return weights.select("source_table", "event_time", F.when(F.col("b") > 0, F.col("b")).alias("before"),
+                          F.when(F.col("a") > 0, F.col("a")).alias("after")).where(~F.col("before").eqNullSafe(F.col("after")))

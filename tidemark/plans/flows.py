@@ -14,9 +14,12 @@ result is a new table version folder plus a one-row report.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import traceback
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +31,7 @@ from tidemark.operators.planning import extract_where
 from tidemark.operators.reconcile import count_reconcile
 from tidemark.schemas import FAILED, REPORT, STAGED, SUCCESS
 from tidemark.sinks import tables
-from tidemark.sources.catalog import dictionary_from_schema
+from tidemark.sources.catalog import dictionary_from_schema, table_exists
 from tidemark.sources.staged import staged_scan
 
 
@@ -61,6 +64,13 @@ class LoadResult:
     path: str | None
     report: DataFrame
     check: DataFrame | None = None
+    status: str = SUCCESS
+    error: str = ""
+    num_records: int = 0
+    start: float = 0.0  # epoch seconds
+    end: float = 0.0
+    rejects: DataFrame | None = None  # rows that did not cast, as ``raw`` text with their ``reject_reason``
+    rejected: int = 0
 
 
 def _payload(spark: SparkSession, source: DataFrame, target: DataFrame, plan: LoadPlan,
@@ -80,17 +90,25 @@ def _payload(spark: SparkSession, source: DataFrame, target: DataFrame, plan: Lo
 
 def run_load(spark: SparkSession, source: DataFrame, target: DataFrame, plan: LoadPlan, *,
              dictionary=None, max_records_per_file: int | None = None, validate: bool = False,
-             check_keys: bool = True, bucket: tuple[str, int] | None = None) -> LoadResult:
+             check_keys: bool = True, bucket: tuple[str, int] | None = None, keep_rejects: bool = False) -> LoadResult:
     """Load one table and publish the next target version; never raises for load errors.
 
+    ``keep_rejects``: rows with values that do not cast to the target's types are
+    written beside the good ones, with reasons and in the same write, instead
+    of failing the load; the report counts the good ones.
+
     ``bucket=(name, buckets)`` publishes a keyed target bucketed by its primary
     key, so the next merge does not shuffle it. Every version is a table of its
     own; the session view ``name`` points at the last one.
     """
     start = time.time()
     status, error, path, n, check = SUCCESS, "", None, 0, None
+    rejects, rejected = None, 0
     try:
-        payload, written = _payload(spark, source, target, plan, dictionary, max_records_per_file)
+        if keep_rejects:
+            payload, rejects, written, rejected = _split_payload(spark, source, target, plan, dictionary, max_records_per_file)
+        else:
+            payload, written = _payload(spark, source, target, plan, dictionary, max_records_per_file)
         mode = plan.mode
         base = target
         if plan.truncate_first:
@@ -120,4 +138,69 @@ def run_load(spark: SparkSession, source: DataFrame, target: DataFrame, plan: Lo
     report = spark.createDataFrame([(plan.source_table, plan.strategy.lower(), status, None, None, int(n), error)],
                                    REPORT)
     report = report.withColumn("start", from_epoch(F.lit(int(start)))).withColumn("end", from_epoch(F.lit(int(end))))
-    return LoadResult(path, report, check)
+    return LoadResult(path, report, check, status, error, int(n), start, end, rejects, rejected)
+
+
+def _split_payload(spark: SparkSession, source: DataFrame, target: DataFrame, plan: LoadPlan, dictionary,
+                   max_records_per_file: int | None) -> tuple[DataFrame, DataFrame, int, int]:
+    """The payload's good rows, its rejects, and both counts, from one write."""
+    schema = loading.payload_schema(target)
+    raw = extract_where(source, "" if plan.truncate_first else plan.where_clause)
+    if plan.strategy == STAGED:
+        text = projection.source_text_projection(raw, dictionary or dictionary_from_schema(raw.schema), target.schema)
+        path, _ = tables.export_stage(text, max_records_per_file=max_records_per_file)
+        raw = spark.read.schema(projection.staging_schema(schema)).parquet(path)
+    flagged = projection.with_reject_reason(raw, schema)
+    path, good, bad = tables.write_split(flagged, "reject_reason")
+    accepted = tables.read_split(spark, path, flagged.schema, False).select(*schema.fieldNames())
+    rejects = tables.read_split(spark, path, flagged.schema, True).select("raw", "reject_reason")
+    return accepted, rejects, good, bad
+
+
+# ---------------------------------------------------------------- claimed rows
+COMPLETION = ("source_table string, event_time timestamp_ntz, status string, finish_time timestamp_ntz, "
+              "duration_min double, num_records bigint, error string")
+Resolve = Callable[[str, str], tuple[DataFrame, DataFrame]]
+
+
+def load_claim(spark: SparkSession, claim, resolve: Resolve, **options) -> LoadResult:
+    """Load the table of one claim row. ``resolve(source_table, target_table)`` gives source and target.
+
+    Never raises: a claim whose tables cannot even be found is a failed load with its error and its times.
+    """
+    start = time.time()
+    try:
+        source, target = resolve(claim["source_table"], claim["target_table"])
+        plan = LoadPlan(claim["source_table"], claim["strategy"], claim["where_clause"] or "", claim["primary_key"] or "")
+    except Exception as e:  # noqa: BLE001 - reported as the claim's outcome
+        return LoadResult(None, spark.createDataFrame([], REPORT), None, FAILED, f"{type(e).__name__}: {e}", 0, start, time.time())
+    return run_load(spark, source, target, plan, **options)
+
+
+def catalog_resolve(spark: SparkSession, source: Callable[[str], DataFrame]) -> Resolve:
+    """Targets by their name in the catalog; a target that does not exist is an error of its claim."""
+    def resolve(source_table: str, target_table: str) -> tuple[DataFrame, DataFrame]:
+        if not table_exists(spark, target_table):
+            raise LookupError(f"target {target_table} does not exist")
+        return source(source_table), spark.table(target_table)
+
+    return resolve
+
+
+def load_claims(spark: SparkSession, claims: DataFrame, resolve: Resolve, *, threads: int = 4,
+                **options) -> tuple[DataFrame, dict[str, LoadResult]]:
+    """Load all claimed tables and return their completions, and the results by source table.
+
+    Claims are bounded by the worker slots; each load is a distributed job of
+    its own, and ``threads`` of them run at a time, as workers would.
+    """
+    rows = claims.collect()  # at most as many as there are slots
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        results = list(pool.map(lambda r: load_claim(spark, r, resolve, **options), rows))
+    done = [(r["source_table"], r["event_time"], x.status, _instant(x.end), round((x.end - x.start) / 60, 2),
+             x.num_records, x.error) for r, x in zip(rows, results)]
+    return spark.createDataFrame(done, COMPLETION), {r["source_table"]: x for r, x in zip(rows, results)}
+
+
+def _instant(epoch: float) -> dt.datetime:
+    return dt.datetime.fromtimestamp(int(epoch), dt.timezone.utc).replace(tzinfo=None)

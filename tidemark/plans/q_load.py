@@ -16,7 +16,7 @@ from tidemark.sources.staged import staged_scan
 
 # Fixed values of the load fixtures.
 TABLE_COL, CDC_COL = "o_orderpriority", "o_orderdate"
-CDC_CUTOFF = 720
+CDC_SHARE = 20  # one in so many of the source rows: direct below, staged at or above
 REPLACE_WHERE = "o_orderdate >= '1998-01-01'"
 MERGE_KEY = "o_orderkey"
 STAGE_ROOT = "sync-stage"
@@ -42,7 +42,8 @@ def _orders_target():
 
 
 def _plan(fx: Fixtures) -> DataFrame:
-    return planning.cdc_plan(fx.load_source, fx.load_target, TABLE_COL, CDC_COL, "WriteNOS", CDC_CUTOFF)
+    return planning.cdc_plan(fx.load_source, fx.load_target, TABLE_COL, CDC_COL, "WriteNOS",
+                             fx.load_source.count() // CDC_SHARE)
 
 
 def _read_back(df: DataFrame, name: str) -> DataFrame:
@@ -54,7 +55,7 @@ _MARKS = {"marks": "SELECT o_orderpriority, max(o_orderdate) AS hwm FROM load_ta
 
 @register("cdc_plan", O.with_views(f"""
 SELECT o_orderpriority, hwm, pending_rows,
-  CASE WHEN hwm IS NULL THEN 'WriteNOS' WHEN pending_rows < {CDC_CUTOFF} THEN 'JDBC' ELSE 'WriteNOS' END AS strategy,
+  CASE WHEN hwm IS NULL THEN 'WriteNOS' WHEN pending_rows < (SELECT count(*) // {CDC_SHARE} FROM load_source) THEN 'JDBC' ELSE 'WriteNOS' END AS strategy,
   CASE WHEN hwm IS NULL THEN '' ELSE 'o_orderdate >= ''' || CAST(hwm AS VARCHAR) || '''' END AS where_clause
 FROM (
   SELECT s.o_orderpriority, m.hwm,
@@ -71,7 +72,8 @@ SELECT s.* FROM load_source s LEFT JOIN marks m ON m.o_orderpriority = s.o_order
 WHERE m.hwm IS NULL OR s.o_orderdate >= m.hwm""", "load_source", "load_target", extra=_MARKS))
 def q_cdc_extract(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return planning.cdc_extract(fx.load_source, _plan(fx), TABLE_COL, CDC_COL)
+    marks = planning.high_water_marks(fx.load_target, TABLE_COL, CDC_COL)  # the extract needs no counts
+    return planning.cdc_extract(fx.load_source, marks, TABLE_COL, CDC_COL)
 
 
 def _sql_part(x: str, i: int) -> str:
@@ -137,8 +139,7 @@ def q_load_truncate_append(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     target = fx.load_target
     path = tables.publish(target, name="load_truncate_append")
-    tables.truncate(spark, path, target)
-    tables.append(loading.truncate_append(fx.load_source, target.schema), path)
+    tables.truncate_load(spark, path, loading.truncate_append(fx.load_source, target.schema))
     return spark.read.parquet(path)
 
 
@@ -180,10 +181,11 @@ SELECT 'merge', p, b, a, b - m + p, a = b - m + p FROM (
 def q_row_count_reconcile(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     src, tgt = fx.load_source, fx.load_target
-    over = count_reconcile("overwrite", src, tgt, loading.overwrite(src, tgt.schema))
-    rw = count_reconcile("replace_where", src.where(F.expr(REPLACE_WHERE)), tgt,
-                         loading.replace_where(tgt, src, REPLACE_WHERE), where=REPLACE_WHERE)
-    mg = count_reconcile("merge", src, tgt, loading.merge_pk(tgt, src, MERGE_KEY), primary_key=MERGE_KEY)
+    after = [_read_back(df, "reconcile") for df in (  # what is counted is what was written
+        loading.overwrite(src, tgt.schema), loading.replace_where(tgt, src, REPLACE_WHERE), loading.merge_pk(tgt, src, MERGE_KEY))]
+    over = count_reconcile("overwrite", src, tgt, after[0])
+    rw = count_reconcile("replace_where", src.where(F.expr(REPLACE_WHERE)), tgt, after[1], where=REPLACE_WHERE)
+    mg = count_reconcile("merge", src, tgt, after[2], primary_key=MERGE_KEY)
     return over.unionByName(rw).unionByName(mg)
 
 

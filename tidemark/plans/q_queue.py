@@ -175,29 +175,56 @@ _CYCLE_VIEWS = {"weighted2": O.weighted_sql(CYCLE_END, source="upserted"), "rank
                 "claims2": O._claims_sql(SLOTS["JDBC"], SLOTS["WriteNOS"], ranked="ranked2")}
 
 
-@register("cycle_queue", O.with_views(f"""
-SELECT q.source_table, q.target_table, q.where_clause, q.primary_key, q.event_time,
-  CASE WHEN c.source_table IS NOT NULL THEN TIMESTAMP '{CYCLE_END}' ELSE q.trigger_time END AS trigger_time,
-  q.strategy, q.lock_rows, CASE WHEN c.source_table IS NOT NULL THEN 'R' ELSE q.status END AS status,
-  q.priority, q.event_time_latest
-FROM upserted q LEFT JOIN claims2 c ON q.source_table = c.source_table AND q.event_time = c.event_time""",
-                                      "upserted", extra=_CYCLE_VIEWS))
+@register("cycle_queue", O.with_views(O.claimed_queue_sql("upserted", "claims2", CYCLE_END), "upserted", extra=_CYCLE_VIEWS))
 def q_cycle_queue(spark, sf_dir):
     """Enqueue the cycle's feed, then rank and claim on the new queue: the queue after the cycle."""
     return _cycle(Fixtures(spark, sf_dir)).queue
 
 
-@register("cycle_history", O.with_views(f"""
-SELECT * FROM history h
-WHERE h.status = 'RUNNING'
-   OR NOT EXISTS (SELECT 1 FROM claims2 c WHERE c.source_table = h.source_table AND c.event_time = h.event_time)
-UNION ALL
-SELECT c.source_table, c.target_table, c.where_clause, c.primary_key, 'RUNNING', c.event_time,
-  TIMESTAMP '{CYCLE_END}', CAST(NULL AS TIMESTAMP), CAST(NULL AS DOUBLE), c.strategy, c.lock_rows, c.priority,
-  CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT)
-FROM claims2 c
-WHERE NOT EXISTS (SELECT 1 FROM history h WHERE h.source_table = c.source_table AND h.event_time = c.event_time
-                    AND h.status = 'RUNNING')""", "upserted", "history", extra=_CYCLE_VIEWS))
+@register("cycle_history", O.with_views(O.claimed_history_sql("history", "claims2", CYCLE_END), "upserted", "history",
+                                       extra=_CYCLE_VIEWS))
 def q_cycle_history(spark, sf_dir):
     """History after the same cycle's claims."""
     return _cycle(Fixtures(spark, sf_dir)).history
+
+
+# ---------------------------------------------------------------- claim, load, complete
+LOAD_SLOTS = {"JDBC": 2, "WriteNOS": 3}
+
+
+def _orders_of(fx: Fixtures, source_table: str):
+    """Source and target of a claimed table: the orders of its customer; every third one is not to be found."""
+    n = int(source_table.removeprefix("SRC.T"))
+    if n % 3 == 0:
+        raise LookupError(f"no source for {source_table}")
+    own = fx.table("orders").where(F.col("o_custkey") == n).select(
+        F.col("o_orderkey").alias("id"), "o_orderstatus", "o_totalprice", "o_orderdate")
+    return own, own.limit(0)
+
+
+_OUTCOME = """
+  CASE WHEN CAST(substr(c.source_table, 6) AS BIGINT) % 3 = 0 THEN 'FAILED' ELSE 'SUCCESS' END"""
+
+
+@register("cycle_load_complete", O.with_views(f"""
+SELECT 'queue' AS side, q.source_table, q.event_time, q.status, CAST(NULL AS BIGINT) AS num_records, CAST(NULL AS VARCHAR) AS error
+FROM queue q WHERE NOT EXISTS (SELECT 1 FROM claims5 c WHERE c.source_table = q.source_table AND c.event_time = q.event_time)
+UNION ALL
+SELECT 'history', h.source_table, h.event_time, CASE WHEN c.source_table IS NULL THEN h.status ELSE {_OUTCOME} END,
+  CASE WHEN c.source_table IS NULL THEN h.num_records WHEN {_OUTCOME} = 'FAILED' THEN 0 ELSE (SELECT count(*) FROM orders o
+    WHERE o.o_custkey = CAST(substr(c.source_table, 6) AS BIGINT)) END,
+  CASE WHEN c.source_table IS NULL THEN h.error WHEN {_OUTCOME} = 'FAILED' THEN 'LookupError: no source for ' || c.source_table ELSE '' END
+FROM claimed h LEFT JOIN claims5 c ON c.source_table = h.source_table AND c.event_time = h.event_time""",
+                                              "queue", "history", "ranked", extra={
+    "claims5": O._claims_sql(LOAD_SLOTS["JDBC"], LOAD_SLOTS["WriteNOS"]),
+    "claimed": O.claimed_history_sql("history", "claims5", RANK_AS_OF)}))
+def q_cycle_load_complete(spark, sf_dir):
+    """Claim a few tables, load each, and complete them with what their loads report; some fail."""
+    from tidemark.plans import cycle, flows
+    fx = Fixtures(spark, sf_dir, store_control=True)
+    step = cycle.dispatch(fx.queue, fx.history, fx.attrs, RANK_AS_OF, LOAD_SLOTS)
+    done, _ = flows.load_claims(spark, step.claims, lambda source, target: _orders_of(fx, source))
+    queue, history = cycle.complete(step.queue, step.history, done)
+    sides = ["source_table", "event_time", "status"]
+    return (queue.select(F.lit("queue").alias("side"), *sides)
+            .unionByName(history.select(F.lit("history").alias("side"), *sides, "num_records", "error"), allowMissingColumns=True))

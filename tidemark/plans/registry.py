@@ -16,7 +16,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 
-MODULES = ("q_ranking", "q_feed", "q_queue", "q_load", "q_report", "q_stream")
+MODULES = ("q_ranking", "q_feed", "q_queue", "q_load", "q_report", "q_stream", "q_commands",
+           "q_plan", "q_files")
 
 
 def register(name: str, sql: str | None = None):

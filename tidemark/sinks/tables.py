@@ -7,6 +7,9 @@ job re-runs into a clean place and readers of the old version are not broken.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -48,10 +51,35 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     same rows, and a lost executor re-reads files instead of recomputing.
     """
     path = work_path(df.sparkSession, name)
+    for made in _WATCHED.get():
+        made.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+_WATCHED: ContextVar[tuple[list[str], ...]] = ContextVar("watched", default=())
+
+
+@contextmanager
+def intermediates() -> Iterator[list[str]]:
+    """Lists the folders that ``materialize`` makes inside the block, so that ``discard`` can delete them
+    once a result that was computed from them is written."""
+    made: list[str] = []
+    token = _WATCHED.set((*_WATCHED.get(), made))
+    try:
+        yield made
+    finally:
+        _WATCHED.reset(token)
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders, wherever Spark keeps them; a missing one is fine."""
+    jvm = spark._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def publish_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None) -> str:
     """Publish a table version bucketed (and sorted) by its primary key.
 
@@ -61,8 +89,8 @@ def publish_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, p
     the session catalog.
     """
     path = path or work_path(df.sparkSession, "bucketed")
-    (df.write.mode("overwrite").format("parquet").option("path", path)
-       .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+    (df.repartition(buckets, *keys)  # a bucket is one task's, so it is one file
+       .write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
     return table
 
 
@@ -124,6 +152,18 @@ def truncate(spark: SparkSession, path: str, like: DataFrame) -> str:
     return path
 
 
+def truncate_load(spark: SparkSession, path: str, payload: DataFrame) -> str:
+    """Empty the table at ``path`` and load ``payload``, as one overwrite of a staged copy.
+
+    The payload is written to the work folder before the table is touched, so
+    a load that fails for its payload leaves the table alone, and one that fails
+    later can be repeated from the copy.
+    """
+    staged = materialize(payload, "truncate_load")
+    staged.write.mode("overwrite").parquet(path)
+    return path
+
+
 def rows_per_file(row_bytes: int, object_bytes: int = STAGE_OBJECT_BYTES) -> int:
     """Rows per export file so that files stay near the object size."""
     return max(1, object_bytes // max(1, row_bytes))
@@ -201,11 +241,11 @@ def merge_in_place(spark: SparkSession, path: str, payload: DataFrame, primary_k
     payload key exists in an untouched partition by reading key and partition
     columns only, and refuses the load otherwise (use ``merge_pk`` + ``publish``).
     """
-    from tidemark.operators.loading import duplicate_keys, key_columns, merge_pk
+    from tidemark.operators.loading import duplicate_keys, key_columns, merge_pk, payload_schema
 
     keys = key_columns(primary_key)
     target = spark.read.parquet(path)
-    payload = materialize(payload.select(*target.columns), "payload")  # one snapshot for every use below
+    payload = materialize(payload.select(*payload_schema(target).fieldNames()), "payload")  # one snapshot for every use below
     if not duplicate_keys(payload, keys).isEmpty():
         raise ValueError(f"payload has duplicate keys for {keys}")
     touched = payload.select(*partition_by).distinct()
@@ -217,3 +257,89 @@ def merge_in_place(spark: SparkSession, path: str, payload: DataFrame, primary_k
     current = _partitions(target, touched, partition_by, "left_semi")
     staged = materialize(merge_pk(current, payload, keys), "merge")
     return replace_partitions(staged.select(*target.columns), path, partition_by)
+
+
+def merge_touched_files(spark: SparkSession, path: str, payload: DataFrame, primary_key,
+                        partition_by: list[str] | None = None) -> list[str]:
+    """Primary-key MERGE that rewrites only the files holding a payload key; returns those.
+
+    The files are found from key columns alone (a semi join with the payload's
+    keys, on which Spark may place a runtime filter). Their next content and the
+    new keys are written to new files beside them, and the old ones are deleted after that. All other files keep
+    their names and times. A key that moved to another partition is merged like any other, as all files with it are
+    rewritten. The content is staged first, so the lineage does not
+    end in files about to go. A job that dies between the two steps leaves old and new files:
+    the rows of the old ones are then there twice, and merging again does not remove those without payload.
+    """
+    from tidemark.operators.loading import duplicate_keys, key_columns, merge_pk, payload_schema
+
+    keys = key_columns(primary_key)
+    target = spark.read.parquet(path)
+    payload = materialize(payload.select(*payload_schema(target).fieldNames()), "payload")
+    if not duplicate_keys(payload, keys).isEmpty():
+        raise ValueError(f"payload has duplicate keys for {keys}")
+    found = (target.select(*keys, F.col("_metadata.file_path").alias("_tm_file"))
+             .join(payload.select(*keys), keys, "left_semi").select("_tm_file").distinct().collect())
+    touched = sorted(r["_tm_file"] for r in found)  # a name per rewritten file
+    current = spark.read.schema(target.schema).option("basePath", path).parquet(*touched) if touched else target.limit(0)
+    staged = materialize(merge_pk(current, payload, keys), "merge").select(*target.columns)
+    writer = staged.write.mode("append")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    jvm = spark._jvm
+    for name in touched:
+        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, False)
+    return touched
+
+
+def folder_bytes(spark: SparkSession, path: str, suffix: str = ".parquet") -> list[int]:
+    """Sizes of the data files directly in a folder."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return [f.getLen() for f in files if f.isFile() and f.getPath().getName().endswith(suffix)]
+
+
+def export_sized(df: DataFrame, path: str | None = None, *, target_bytes: int = STAGE_OBJECT_BYTES,
+                 probe_rows: int = 50_000) -> tuple[str, int, float]:
+    """Export to snappy Parquet files near a size in bytes; returns (path, rows, bytes a row).
+
+    Bytes a row are measured on a first part of at most ``probe_rows`` rows,
+    written in the same format to the work folder. The rows are then dealt
+    evenly to as many files as the target asks for, so no file depends on how
+    the input happened to be split. The rows written come from an ``Observation``.
+    """
+    spark = df.sparkSession
+    path = path or work_path(spark, "stage")
+    probe = work_path(spark, "stage_probe")
+    seen = Observation("tm_probe")
+    (df.limit(probe_rows).observe(seen, F.count(F.lit(1)).alias("rows")).coalesce(1).write.mode("overwrite")
+       .option("compression", STAGE_COMPRESSION).parquet(probe))
+    rows = int(seen.get["rows"])
+    width = sum(folder_bytes(spark, probe)) / max(1, rows)
+    discard(spark, [probe])
+    total = rows if rows < probe_rows else df.count()
+    files = max(1, round(total * width / target_bytes))
+    obs = Observation("tm_export_sized")
+    (df.repartition(files).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+       .option("compression", STAGE_COMPRESSION).parquet(path))
+    return path, int(obs.get["rows"]), width
+
+
+def write_split(flagged: DataFrame, reason: str, path: str | None = None) -> tuple[str, int, int]:
+    """One write of accepted and rejected rows, by whether column ``reason`` is null; returns (path, accepted, rejected).
+
+    Both counts come from one ``Observation`` of that write. Read the parts with ``read_split``.
+    """
+    path = path or work_path(flagged.sparkSession, "split")
+    bad = F.col(reason).isNotNull()
+    obs = Observation("tm_split")
+    (flagged.withColumn("_tm_rejected", bad)
+        .observe(obs, F.count(F.when(~bad, 1)).alias("accepted"), F.count(F.when(bad, 1)).alias("rejected"))
+        .write.mode("overwrite").partitionBy("_tm_rejected").parquet(path))
+    return path, int(obs.get["accepted"]), int(obs.get["rejected"])
+
+
+def read_split(spark: SparkSession, path: str, schema: StructType, rejected: bool) -> DataFrame:
+    """The accepted or rejected rows of ``write_split`` (a part without rows has no folder: empty)."""
+    return read_or_empty(spark, f"{path}/_tm_rejected={str(rejected).lower()}", schema)
