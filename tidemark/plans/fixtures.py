@@ -34,7 +34,7 @@ class Fixtures:
     there. ``store_control=False`` derives them anew inside each query.
     """
 
-    _stored: dict[tuple[str, str, str], DataFrame] = {}
+    _stored: dict[tuple[str, ...], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str, store_control: bool = True):
         self.spark = spark
@@ -44,7 +44,8 @@ class Fixtures:
     def _control(self, name: str, build) -> DataFrame:
         if not self.store_control:
             return build()
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        zone = self.spark.conf.get("spark.sql.session.timeZone")  # must not matter, and is tested not to
+        key = (self.spark.sparkContext.applicationId, zone, self.sf_dir, name)
         if key not in self._stored:
             self._stored[key] = materialize(build(), f"control_{name}")
         return self._stored[key]

@@ -30,6 +30,7 @@ from tidemark.operators import loading, projection
 from tidemark.operators.planning import extract_where
 from tidemark.operators.reconcile import count_reconcile
 from tidemark.schemas import FAILED, REPORT, STAGED, SUCCESS
+from tidemark.session import work_path
 from tidemark.sinks import tables
 from tidemark.sources.catalog import dictionary_from_schema, table_exists
 from tidemark.sources.staged import staged_scan
@@ -45,6 +46,7 @@ class LoadPlan:
     where_clause: str = ""
     primary_key: str = ""
     full: bool | None = None
+    target_table: str = ""
 
     @property
     def truncate_first(self) -> bool:
@@ -52,6 +54,12 @@ class LoadPlan:
             return self.full
         return self.strategy == STAGED and not self.where_clause
 
+    @property
+    def stage_parts(self) -> list[str]:
+        """Where a staged export goes below the work folder, before the id of the run: the target's catalog and the source."""
+        catalog = self.target_table.split(".")[0] if self.target_table else "tables"
+        return ["stage", catalog, "__".join(self.source_table.split("."))]
+
     @property
     def mode(self) -> str:
         if self.primary_key:
@@ -84,7 +92,7 @@ def _payload(spark: SparkSession, source: DataFrame, target: DataFrame, plan: Lo
         return snap, None
     text = projection.source_text_projection(extracted, dictionary or dictionary_from_schema(extracted.schema),
                                              target.schema)
-    path, written = tables.export_stage(text, max_records_per_file=max_records_per_file)
+    path, written = tables.export_stage(text, work_path(spark, *plan.stage_parts), max_records_per_file=max_records_per_file)
     return staged_scan(spark, path, target.schema), written
 
 
@@ -148,7 +156,7 @@ def _split_payload(spark: SparkSession, source: DataFrame, target: DataFrame, pl
     raw = extract_where(source, "" if plan.truncate_first else plan.where_clause)
     if plan.strategy == STAGED:
         text = projection.source_text_projection(raw, dictionary or dictionary_from_schema(raw.schema), target.schema)
-        path, _ = tables.export_stage(text, max_records_per_file=max_records_per_file)
+        path, _ = tables.export_stage(text, work_path(spark, *plan.stage_parts), max_records_per_file=max_records_per_file)
         raw = spark.read.schema(projection.staging_schema(schema)).parquet(path)
     flagged = projection.with_reject_reason(raw, schema)
     path, good, bad = tables.write_split(flagged, "reject_reason")
@@ -171,7 +179,8 @@ def load_claim(spark: SparkSession, claim, resolve: Resolve, **options) -> LoadR
     start = time.time()
     try:
         source, target = resolve(claim["source_table"], claim["target_table"])
-        plan = LoadPlan(claim["source_table"], claim["strategy"], claim["where_clause"] or "", claim["primary_key"] or "")
+        plan = LoadPlan(claim["source_table"], claim["strategy"], claim["where_clause"] or "", claim["primary_key"] or "",
+                        target_table=claim["target_table"] or "")
     except Exception as e:  # noqa: BLE001 - reported as the claim's outcome
         return LoadResult(None, spark.createDataFrame([], REPORT), None, FAILED, f"{type(e).__name__}: {e}", 0, start, time.time())
     return run_load(spark, source, target, plan, **options)

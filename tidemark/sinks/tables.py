@@ -164,21 +164,36 @@ def truncate_load(spark: SparkSession, path: str, payload: DataFrame) -> str:
     return path
 
 
-def rows_per_file(row_bytes: int, object_bytes: int = STAGE_OBJECT_BYTES) -> int:
+def rows_per_file(row_bytes: float, object_bytes: int = STAGE_OBJECT_BYTES) -> int:
     """Rows per export file so that files stay near the object size."""
-    return max(1, object_bytes // max(1, row_bytes))
+    return max(1, int(object_bytes // max(1, row_bytes)))
+
+
+def measured_row_bytes(df: DataFrame, probe_rows: int = 50_000) -> tuple[float, int]:
+    """Bytes a row takes in an export, and the rows measured: a first part of at most ``probe_rows``
+    rows, written in the same format to the work folder."""
+    spark = df.sparkSession
+    probe = work_path(spark, "stage_probe")
+    seen = Observation("tm_probe")
+    (df.limit(probe_rows).observe(seen, F.count(F.lit(1)).alias("rows")).coalesce(1).write.mode("overwrite")
+       .option("compression", STAGE_COMPRESSION).parquet(probe))
+    rows = int(seen.get["rows"])
+    width = sum(folder_bytes(spark, probe)) / max(1, rows)
+    discard(spark, [probe])
+    return width, rows
 
 
 def export_stage(df: DataFrame, path: str | None = None, *, max_records_per_file: int | None = None,
-                 row_bytes: int = 100) -> tuple[str, int]:
+                 row_bytes: float | None = None) -> tuple[str, int]:
     """Export to snappy Parquet with bounded files; returns (path, rows written).
 
-    The row count comes from an ``Observation`` on the write itself, so the
-    data is read once.
+    Without a bound in rows it follows from the object size and the bytes a row
+    takes, which are measured on a first part unless given. The row count comes
+    from an ``Observation`` on the write itself.
     """
     path = path or work_path(df.sparkSession, "stage")
     obs = Observation("tm_export")
-    n = max_records_per_file or rows_per_file(row_bytes)
+    n = max_records_per_file or rows_per_file(row_bytes or measured_row_bytes(df)[0])
     (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
        .option("compression", STAGE_COMPRESSION).option("maxRecordsPerFile", n).parquet(path))
     return path, int(obs.get["rows"])
@@ -304,20 +319,12 @@ def export_sized(df: DataFrame, path: str | None = None, *, target_bytes: int =
                  probe_rows: int = 50_000) -> tuple[str, int, float]:
     """Export to snappy Parquet files near a size in bytes; returns (path, rows, bytes a row).
 
-    Bytes a row are measured on a first part of at most ``probe_rows`` rows,
-    written in the same format to the work folder. The rows are then dealt
+    Bytes a row are measured (``measured_row_bytes``). The rows are then dealt
     evenly to as many files as the target asks for, so no file depends on how
     the input happened to be split. The rows written come from an ``Observation``.
     """
-    spark = df.sparkSession
-    path = path or work_path(spark, "stage")
-    probe = work_path(spark, "stage_probe")
-    seen = Observation("tm_probe")
-    (df.limit(probe_rows).observe(seen, F.count(F.lit(1)).alias("rows")).coalesce(1).write.mode("overwrite")
-       .option("compression", STAGE_COMPRESSION).parquet(probe))
-    rows = int(seen.get["rows"])
-    width = sum(folder_bytes(spark, probe)) / max(1, rows)
-    discard(spark, [probe])
+    path = path or work_path(df.sparkSession, "stage")
+    width, rows = measured_row_bytes(df, probe_rows)
     total = rows if rows < probe_rows else df.count()
     files = max(1, round(total * width / target_bytes))
     obs = Observation("tm_export_sized")
