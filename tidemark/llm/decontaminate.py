@@ -10,9 +10,10 @@ for paraphrase, by the item's answer.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +23,23 @@ from pyspark.sql import functions as F
 from tidemark.sinks.tables import materialize
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, place in the partition below
-LEAST_WORDS = 5  # items of fewer words cannot be told from ordinary text
+LEAST_WORDS = 5  # items of fewer words are matched as exact runs of words
 ANSWER_WORDS, ANSWER_SHARE = 8, 4  # an answer is checked by at most so many words, and one in so many of the passage's
-ANSWER_LEAST = 3  # one in so many of them must be there
+ANSWER_LEAST = 3  # one in so many of them must be there, rounded up
+RARE_LEAST = 0.4  # of a paraphrased passage's rarer words; those it replaced are all among them
 LETTERS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))  # other ASCII becomes a space
+HIGH = re.compile(b"[\xe0-\xff]")  # first bytes of characters from U+0800 on
+# Ranges of scripts that are written without spaces (Thai to Khmer, kana, Han).
+UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+                      "\U00020000-\U0003ffff])")
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words; ASCII punctuation parts words."""
-    return (text or "").lower().encode("utf-8", "replace").translate(LETTERS).split()
+    """Lower-cased words; ASCII punctuation parts words, and in scripts without spaces each character is one."""
+    raw = (text or "").lower().encode("utf-8", "replace")
+    if HIGH.search(raw):
+        raw = UNSPACED.sub(r" \1 ", (text or "").lower()).encode("utf-8", "replace")
+    return raw.translate(LETTERS).split()
 
 
 def answer_of(text: str, least: int = 4) -> list[bytes]:
@@ -52,6 +61,13 @@ def telling_words(answer: list[bytes], n: int) -> list[bytes]:
     return [answer[i] for i in sorted(best)]
 
 
+def rare_words(words: list[bytes], weights: list[float]) -> list[bytes]:
+    """The words of a passage that are among the rarer half of its distinct words, in their order."""
+    by_weight = sorted(dict(zip(words, weights)).items(), key=lambda x: (-x[1], x[0]))
+    rare = {w for w, _ in by_weight[:-(-len(by_weight) // 2)]}
+    return [w for w in words if w in rare]
+
+
 def places_of(words: list[bytes]) -> dict[bytes, int]:
     """A word's places as bits, as ``common_words`` takes them."""
     bits: dict[bytes, int] = {}
@@ -81,7 +97,8 @@ def _passages(items: DataFrame, window: int) -> DataFrame:
                 parts = -(-len(words) // window) if len(words) >= LEAST_WORDS else 0
                 for k in range(parts):  # of even length, so that no short rest is left
                     piece = words[k * len(words) // parts:(k + 1) * len(words) // parts]
-                    out.append((i, k, piece, answer_of(t) if k == parts - 1 else []))
+                    # the last passage has the item's answer, the others are told by their own words
+                    out.append((i, k, piece, answer_of(t) if k == parts - 1 else piece))
             if out:
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
@@ -156,111 +173,161 @@ def randomised_svd(rows: DataFrame, n_terms: int, rank: int, rounds: int = 2, se
     return block @ turn[:, keep][:, ::-1]
 
 
+class Runs:
+    """Items of fewer than ``LEAST_WORDS`` words, found as exact runs of words.
+
+    An item of one word would be found nearly everywhere: it only matches a text that is that word.
+    """
+
+    def __init__(self, items: list[tuple[int, list[bytes]]]) -> None:
+        self.alone: dict[bytes, list[int]] = {}
+        words = sorted({w for _, ws in items for w in ws if len(ws) > 1})
+        self.number = {w: i + 1 for i, w in enumerate(words)}
+        self.base = len(words) + 1
+        self.items: dict[int, dict[int, list[int]]] = {}  # by length and by the run's number
+        for item, ws in items:
+            if len(ws) == 1:
+                self.alone.setdefault(ws[0], []).append(item)
+            else:
+                self.items.setdefault(len(ws), {}).setdefault(self._code([self.number[w] for w in ws]), []).append(item)
+        self.codes = {n: np.array(sorted(c), np.int64) for n, c in self.items.items()}
+        if self.base ** (LEAST_WORDS - 1) >= 1 << 63:
+            raise ValueError("too many different words in short items")
+
+    def _code(self, numbers: list[int]) -> int:
+        code = 0
+        for x in numbers:
+            code = code * self.base + x
+        return code
+
+    def found(self, words: list[bytes]) -> set[int]:
+        """The items that a text holds."""
+        out = set(self.alone.get(words[0], ())) if len(words) == 1 else set()
+        if self.items:
+            ids = np.fromiter(map(self.number.get, words, repeat(0)), np.int64, len(words))
+            for n, codes in self.codes.items():
+                if len(ids) < n or not len(codes):
+                    continue
+                code, whole = np.zeros(len(ids) - n + 1, np.int64), np.ones(len(ids) - n + 1, bool)
+                for k in range(n):
+                    own = ids[k:len(ids) - n + 1 + k]
+                    code, whole = code * self.base + own, whole & (own > 0)
+                for c in np.unique(code[whole & np.isin(code, codes)]).tolist():
+                    out.update(self.items[n][c])
+        return out
+
+
+# A latent space over some passages, as plain values that travel in a broadcast: the row of each word (-1: none),
+# the space, the folded passages, and for each its item and the places and number of its words, its rare words and its answer.
+Block = tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple]]
+
+
 def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text: str = "text",
-                 item_id: str = "item_id", item_text: str = "text", rank: int = 256, window: int = 64,
-                 cosine: float = 0.45, copied: float = 0.8, paraphrased: float = 0.5, block_items: int = 1000) -> DataFrame:
+                 item_id: str = "item_id", item_text: str = "text", block_passages: int = 256, rank_share: float = 0.75,
+                 window: int = 64, cosine: float = 0.4, copied: float = 0.8, paraphrased: float = 0.5,
+                 blocks_a_scan: int = 64) -> DataFrame:
     """Documents that hold a benchmark item: ``(doc_id, item_id, cosine, lcs, n_passages)``, a row per pair.
 
     A pair is reported if a candidate passage has a longest common subsequence
     of at least ``copied`` of the benchmark passage's words, or of at least
-    ``paraphrased`` of them with the item's answer: of at most eight words, the
-    longest of its last sentence, a third by their own longest common
-    subsequence. ``lcs`` is the best such share, ``cosine`` the best
+    ``paraphrased`` of them, with two fifths of the words that are among the rarer half of its own (ordinary
+    text shares the others), and its answer: a third, by their own longest common
+    subsequence, of at most eight words, the longest of the item's last sentence
+    for its last passage and the longest of their own for the others. ``lcs`` is the best such share, ``cosine`` the best
     latent cosine and ``n_passages`` the number of benchmark passages found.
     Documents are folded in by halves of ``window`` words; a passage is two
-    halves. Candidates need a latent cosine of ``cosine``. A block of the benchmark
-    has at most ``rank`` passages, so that its latent space holds each of them
-    whole (a lower rank loses candidates, measured in the README).
-
-    Null and empty texts and items of fewer than five words give no rows. A null
-    id stays null, repeated rows give repeated rows. Other columns are ignored. The
-    benchmark is a stated query set: it is taken in blocks of at most ``rank``
-    passages and about ``block_items`` items, each broadcast against all
-    documents. Empty tables: no rows.
+    halves. Candidates need a latent cosine of ``cosine``.
+
+    The benchmark is a stated query set, broadcast in blocks of at most
+    ``block_passages`` neighbouring passages, each with a latent space of ``rank_share`` times as many
+    dimensions (1.0: passages are held whole). Frequencies of all its
+    words are counted in one scan of the documents, and ``blocks_a_scan`` blocks are
+    searched in one. The exact way past the candidates is ``cosine=-1``, which checks
+    every passage of every document.
+
+    Items of fewer than five words are found as exact runs of words, an item of
+    one word only as a whole text; their cosine and lcs are 1. In scripts written without spaces
+    a character counts as a word. Null and empty texts and items give no rows. A null id
+    stays null, repeated rows give repeated rows. Other columns are ignored. Empty tables: no rows.
     """
-    if rank < 1 or block_items < 1:
-        raise ValueError("rank and block_items must be positive")
+    if block_passages < 1 or not 0 < rank_share <= 1 or blocks_a_scan < 1:
+        raise ValueError("block_passages and blocks_a_scan must be positive, rank_share over 0 and at most 1")
     spark = docs.sparkSession
     corpus = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    queries = materialize(_passages(items.select(F.col(item_id).cast("long").alias("item_id"),
-                                                 F.col(item_text).alias("text")), window)
-                          .withColumn("at", F.monotonically_increasing_id()), "decontaminate")
-    part, place = F.shiftright("at", ROW_BITS), F.col("at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    counts = queries.groupBy(part.alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()  # one row per partition
-    n_passages = sum(r["n"] for r in counts)
-    if not n_passages:
+    given = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
+    passages = _passages(given, window).collect()  # the stated query set
+    passages.sort(key=lambda p: (p["item_id"] is None, p["item_id"] or 0, p["part"], p["words"]))
+    short = sorted({(r["item_id"], tuple(bytes(w) for w in r["words"])) for r in _short_items(given).collect()},
+                   key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    if not passages and not short:
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, n_passages long")
-    blocks = max(-(-n_passages // rank), -(-queries.select("item_id").distinct().count() // block_items))
-    size = -(-n_passages // blocks)
-    before = dict(zip([r["p"] for r in counts], accumulate([0, *(r["n"] for r in counts)])))
-    heads = spark.createDataFrame(list(before.items()), "p long, before long")
-    queries = materialize(queries.join(F.broadcast(heads), part == F.col("p")).withColumn(
-        "block", F.floor((F.col("before") + place) / F.lit(size))).drop("p", "before"), "decontaminate")
+    terms = sorted({bytes(w) for p in passages for w in p["words"]})
+    number = {t: i for i, t in enumerate(terms)}
+    df, n = document_frequencies(corpus, terms) if terms else (np.zeros(0, np.int64), 0)
+    idf = np.log((n + 1) / (df + 1)) + 1e-3
+    count = -(-len(passages) // block_passages)
+    cuts = [k * len(passages) // count for k in range(count + 1)] if count else [0]
+    blocks = [_block(spark, passages[a:b], number, idf, rank_share) for a, b in zip(cuts, cuts[1:])]
     found = None
-    for b in range(-(-n_passages // size)):
-        block = queries.where(F.col("block") == b)
-        part = _block(corpus, block, rank, window, cosine, copied, paraphrased)
+    for k in range(0, max(1, len(blocks)), blocks_a_scan):
+        runs = [(i, list(ws)) for i, ws in short] if k == 0 else []
+        part = _search(corpus, number, blocks[k:k + blocks_a_scan], runs, window, cosine, copied, paraphrased)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("row", "doc_id", "item_id").agg(
         F.max("cosine").alias("cosine"), F.max("lcs").alias("lcs"), F.count("*").alias("n_passages")).drop("row")
 
 
-def _block(corpus: DataFrame, queries: DataFrame, rank: int, window: int, least: float, copied: float,
-           paraphrased: float) -> DataFrame:
-    spark = corpus.sparkSession
-    passages = queries.collect()  # one block of the stated query set
-    terms = sorted({bytes(w) for p in passages for w in p["words"]})
-    number = {t: i for i, t in enumerate(terms)}
-    df, n = document_frequencies(corpus, terms)
-    idf = np.log((n + 1) / (df + 1)) + 1e-3
-
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _short_items(items: DataFrame) -> DataFrame:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [Counter(number[bytes(w)] for w in ws) for ws in batch["words"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([list(c) for c in counts], pa.list_(pa.int32())),
-                 pa.array([[k * idf[i] for i, k in c.items()] for c in counts], pa.list_(pa.float64()))], ["ids", "vals"])
-
-    matrix = materialize(queries.select("words").mapInArrow(weigh, "ids array<int>, vals array<double>"), "decontaminate")
-    space = (randomised_svd(matrix, len(terms), rank) * idf[:, None]).astype(np.float32)
-    folded = np.array([space[[number[bytes(w)] for w in p["words"]]].sum(0) for p in passages], np.float32)
+            out = [(i, ws) for i, t in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist())
+                   if 0 < len(ws := words_of(t)) < LEAST_WORDS]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()),
+                                              pa.array([ws for _, ws in out], pa.list_(pa.binary()))], ["item_id", "words"])
+
+    return items.mapInArrow(cut, "item_id long, words array<binary>")
+
+
+def _block(spark, passages: list, number: dict[bytes, int], idf: np.ndarray, rank_share: float) -> Block:
+    """The latent space of some passages: a randomised SVD of their TF-IDF matrix, in tasks."""
+    own = [[number[bytes(w)] for w in p["words"]] for p in passages]
+    used = sorted({i for ids in own for i in ids})
+    local = np.full(len(number), -1, np.int64)
+    local[used] = np.arange(len(used))
+    weight = idf[used]
+    rows = [(list(c), [k * float(weight[i]) for i, k in c.items()]) for ids in own for c in [Counter(local[ids].tolist())]]
+    matrix = materialize(spark.createDataFrame(rows, "ids array<int>, vals array<double>"), "decontaminate")
+    rank = max(1, int(np.ceil(rank_share * len(passages))))
+    space = (randomised_svd(matrix, len(used), rank) * weight[:, None]).astype(np.float32)
+    folded = np.array([space[local[ids]].sum(0) for ids in own], np.float32)
     folded /= np.maximum(np.linalg.norm(folded, axis=1, keepdims=True), 1e-12)
     places = []
     for p in passages:
-        own = [bytes(w) for w in p["words"]]
-        tail = [bytes(w) for w in p["answer"]][-len(own):]
-        answer = telling_words(tail, len(own))
-        places.append((p["item_id"], places_of(own), len(own), places_of(answer), len(answer)))
-    shared = spark.sparkContext.broadcast((number, space, np.ascontiguousarray(folded.T), places))
+        words = [bytes(w) for w in p["words"]]
+        answer = telling_words([bytes(w) for w in p["answer"]][-len(words):], len(words))
+        rare = rare_words(words, [float(idf[number[w]]) for w in words])
+        places.append((p["item_id"], *(x for ws in (words, rare, answer) for x in (places_of(ws), len(ws)))))
+    return local, space, np.ascontiguousarray(folded.T), places
+
+
+def _search(corpus: DataFrame, number: dict[bytes, int], blocks: list[Block], short: list[tuple[int, list[bytes]]],
+            window: int, least: float, copied: float, paraphrased: float) -> DataFrame:
+    """One scan: every passage of every document against all passages of ``blocks``, and the short items."""
+    shared = corpus.sparkSession.sparkContext.broadcast((number, blocks, short))
     half = window // 2
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, v, q, queries_ = shared.value
+        vocabulary, own, given = shared.value
+        runs = Runs(given)
         for batch in batches:
             out: list[tuple] = []
             for r, t in enumerate(batch["text"].to_pylist()):
                 words = words_of(t)
+                out += [(r, item, 1.0, 1.0) for item in runs.found(words)]
                 ids = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
-                at = np.flatnonzero(ids >= 0)
-                if not len(at):
-                    continue
-                part = at // half
-                first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-                sums = np.zeros((-(-len(words) // half) + 1, v.shape[1]), np.float32)
-                sums[part[first]] = np.add.reduceat(v[ids[at]], first, axis=0)
-                folds = sums[:-1] + sums[1:]  # the last one is a half alone
-                folds /= np.maximum(np.sqrt(np.einsum("ij,ij->i", folds, folds)), 1e-12)[:, None]
-                cos = folds @ q
-                best: dict[int, tuple[float, float]] = {}
-                for k, j in zip(*np.nonzero(cos >= least)):
-                    _, bits, n, answer, m = queries_[j]
-                    region = words[max(0, k * half - half):k * half + window + half]
-                    share = common_words(bits, n, region) / n
-                    if share < paraphrased or share <= best.get(j, (0.0, 0.0))[1]:
-                        continue
-                    if share >= copied or m and common_words(answer, m, region) >= max(1, m // ANSWER_LEAST):
-                        best[j] = (max(float(cos[k, j]), best.get(j, (0.0, 0.0))[0]), share)
-                out += [(r, queries_[j][0], c, s) for j, (c, s) in best.items()]
+                known = np.flatnonzero(ids >= 0)
+                for block in own if len(known) else ():
+                    out += [(r, *x) for x in candidates(block, words, ids[known], known)]
             if out:
                 cols = list(zip(*out))
                 rows = pa.array(cols[0], pa.int64())
@@ -269,6 +336,34 @@ def _block(corpus: DataFrame, queries: DataFrame, rank: int, window: int, least:
                      pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64())],
                     ["row", "doc_id", "item_id", "cosine", "lcs"])
 
+    def candidates(block: Block, words: list[bytes], ids: np.ndarray, known: np.ndarray) -> list[tuple]:
+        local, space, folded, places = block
+        at = local[ids]
+        inside = at >= 0
+        at, where = at[inside], known[inside]
+        if not len(at):
+            return []
+        part = where // half
+        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        sums = np.zeros((-(-len(words) // half) + 1, space.shape[1]), np.float32)
+        sums[part[first]] = np.add.reduceat(space[at], first, axis=0)
+        folds = sums[:-1] + sums[1:]  # the last one is a half alone
+        folds /= np.maximum(np.sqrt(np.einsum("ij,ij->i", folds, folds)), 1e-12)[:, None]
+        best: dict[int, tuple[float, float]] = {}
+        for lo in range(0, len(folds), 4096):  # bounds the products of a very long text
+            cos = folds[lo:lo + 4096] @ folded
+            for k, j in zip(*np.nonzero(cos >= least)):
+                _, bits, n, rare, n_rare, answer, m = places[j]
+                begin = (lo + int(k)) * half
+                region = words[max(0, begin - half):begin + window + half]
+                share = common_words(bits, n, region) / n
+                if share < paraphrased or share <= best.get(j, (0.0, 0.0))[1]:
+                    continue
+                if share >= copied or (m and common_words(rare, n_rare, region) >= RARE_LEAST * n_rare
+                                       and common_words(answer, m, region) >= -(-m // ANSWER_LEAST)):
+                    best[j] = (max(float(cos[k, j]), best.get(j, (0.0, 0.0))[0]), share)
+        return [(places[j][0], c, s) for j, (c, s) in best.items()]
+
     # materialised: the groups behind it must not see another numbering of rows after a lost executor
     return materialize(corpus.withColumn("row", F.monotonically_increasing_id())
                        .mapInArrow(search, "row long, doc_id long, item_id long, cosine double, lcs double"),
