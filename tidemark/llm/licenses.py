@@ -2,7 +2,8 @@
 
 A text is normalised (lower case, anything but letters and digits becomes a
 space) and taken apart into units: the whole text, its paragraphs and its
-lines. The Dice coefficient of two bags of bigrams can only reach the threshold
+lines. Notices inside longer lines are found by windows of a template's own
+length, placed where bigrams of the template fall. The Dice coefficient of two bags of bigrams can only reach the threshold
 if their sizes lie within a factor of each other, so units whose size fits no
 template are dropped before their bigrams are formed, and templates outside a
 unit's bounds before anything is counted. Shared bigrams are found through an
@@ -13,6 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tidemark.sinks.tables import materialize
 
 # Common licence notices and grants, by SPDX identifier.
 TEMPLATES = [
@@ -45,6 +49,47 @@ TEMPLATES = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+                     "binary form must reproduce the above copyright notice, this list of conditions and the following "
+                     "disclaimer in the documentation and/or other materials provided with the distribution. "
+                     "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+                     "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+                     "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+                     "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+                     "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+                     "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+                     "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF "
+                     "THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+                     "binary form must reproduce the above copyright notice, this list of conditions and the following "
+                     "disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither "
+                     "the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission. "
+                     "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+                     "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+                     "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+                     "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+                     "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+                     "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+                     "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF "
+                     "THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+            "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+            "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+            "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS "
+            "OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+            "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+            "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+            "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
 ]
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
@@ -77,12 +122,15 @@ def scan(df: DataFrame, templates: DataFrame, *, id_col: str = "doc_id", text: s
          threshold: float = THRESHOLD, index_limit: int = 500_000) -> DataFrame:
     """Licence notices found: one row per document, unit and licence.
 
-    Returns ``doc_id``, ``unit`` (text, paragraph or line), ``place`` (from 0,
-    in the document, for paragraphs and lines), ``license`` and ``dice``: twice
+    Returns ``doc_id``, ``unit`` (text, paragraph, line or window), ``place`` (from 0,
+    in the document, for paragraphs and lines; a window's first word), ``license`` and ``dice``: twice
     the shared word bigrams (repeats counted) over the sum of both sides', for
     the licence's best template, where it is at least ``threshold`` (over 0).
     A text of one line is one unit ``line``; paragraphs are only looked at where
-    a blank line parts them.
+    a blank line parts them. A window has as many words as a template (fewer at
+    the end of a text) and begins with one of its bigrams; windows are given for licences that
+    no other unit of the text has, the best one (the first of equals) among those that begin
+    within the longest template's length of each other.
 
     Null and empty texts, and units of fewer than two words, match nothing; nor
     do templates of fewer than two words or with a null body. Repeated rows are
@@ -139,9 +187,50 @@ def scan(df: DataFrame, templates: DataFrame, *, id_col: str = "doc_id", text: s
               .agg(F.count("*").alias("c"))
               .groupBy("row", "doc_id", "unit", "place", "license", "template", "n", "n_t")
               .agg(F.sum(F.least("c", "c_t")).alias("both")))
-    return (shared.withColumn("dice", 2 * F.col("both") / (F.col("n") + F.col("n_t")))
-            .where(F.col("dice") >= threshold)
-            .groupBy("row", "doc_id", "unit", "place", "license").agg(F.max("dice").alias("dice")).drop("row"))
+    dice = 2 * F.col("both") / (F.col("n") + F.col("n_t"))
+    found = materialize(shared.withColumn("dice", dice).where(F.col("dice") >= threshold)
+                        .groupBy("row", "doc_id", "unit", "place", "license").agg(F.max("dice").alias("dice")), "licenses")
+    inside = _windows(docs, t, index, threshold).join(found.select("row", "license").distinct(), ["row", "license"], "left_anti")
+    return found.drop("row").unionByName(inside.select("doc_id", F.lit("window").alias("unit"), "place", "license", "dice"))
+
+
+def _windows(docs: DataFrame, t: DataFrame, index: DataFrame, threshold: float) -> DataFrame:
+    """The best windows by licence: ``row, doc_id, license, place, dice``.
+
+    A window shares at least ``least`` of a template's bigrams, so it holds one of any ``n_t - need + 1`` of them:
+    texts without the longer word of any of those, taken by length, are passed over. Bigram matches
+    are put in buckets as long as the template; a window lies in two neighbouring ones, so
+    a pair of buckets with too few matches holds none, and the others have at most two lengths of matches.
+    """
+    need = F.ceil(F.col("n_t") * (threshold / (2 - threshold)) - 1e-9)
+    telling = (t.select("n_t", need.alias("need"), F.expr(
+        "slice(reverse(array_sort(transform(grams, g -> array_max(transform(split(g, ' '), w -> struct(length(w) as n, w as w)))))), "
+        f"1, int(n_t - ceil(n_t * {threshold / (2 - threshold)} - 1e-9) + 1)).w").alias("ws"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("ws"))).alias("ws"), F.max("n_t").alias("most")).first())
+    if not telling["ws"]:
+        return docs.select("row", "doc_id", F.lit("").alias("license"), F.lit(0).alias("place"), F.lit(0.0).alias("dice")).limit(0)
+    words = F.array(*[F.lit(w) for w in telling["ws"]])  # at most as many as the templates have
+    ws = docs.select("row", "doc_id", once(F.expr("filter(split(translate(norm, '\n', ' '), ' '), w -> w <> '')")).alias("ws"))
+    grams = (ws.where(F.arrays_overlap("ws", words)).withColumn("n_doc", F.size("ws") - 1)
+             .select("row", "doc_id", "n_doc", F.posexplode(bigrams(F.col("ws"))).alias("pos", "gram")))
+    hits = (grams.join(index, "gram").withColumn("own", F.expr("int(pos div n_t)"))
+            .withColumn("bucket", F.explode(F.expr("array(own, own - 1)"))))
+    pairs = (hits.groupBy("row", "doc_id", "n_doc", "template", "license", "n_t", "bucket")
+             .agg(F.collect_list(F.struct("pos", "gram", "c_t")).alias("hits"))  # at most 2 * n_t
+             .where(F.size("hits") >= need))
+    starts = (pairs.withColumn("p", F.explode(F.expr("transform(filter(hits, h -> h.pos div n_t = bucket), h -> h.pos)")))
+              .withColumn("hits", F.expr("filter(hits, h -> h.pos >= p and h.pos < p + n_t)"))
+              .withColumn("n", F.least("n_t", F.col("n_doc") - F.col("p"))).where(F.size("hits") >= need))
+    key = ["row", "doc_id", "license", "template", "n_t", "p", "n"]
+    scored = (starts.select(*key, F.explode("hits").alias("h")).groupBy(*key, "h.gram", "h.c_t").agg(F.count("*").alias("c"))
+              .groupBy(*key).agg(F.sum(F.least("c", "c_t")).alias("both"))
+              .withColumn("dice", 2 * F.col("both") / (F.col("n") + F.col("n_t"))).where(F.col("dice") >= threshold)
+              .groupBy("row", "doc_id", "license", "p").agg(F.max("dice").alias("dice")))
+    most = int(telling["most"])
+    near = Window.partitionBy("row", "license").orderBy("p").rangeBetween(-most, most)
+    best = F.max(F.struct("dice", (-F.col("p")).alias("q"))).over(near)
+    return (scored.withColumn("best", best).where((F.col("best.dice") == F.col("dice")) & (F.col("best.q") == -F.col("p")))
+            .select("row", "doc_id", "license", F.col("p").alias("place"), "dice"))
 
 
 def _merged(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:

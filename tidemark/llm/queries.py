@@ -230,12 +230,31 @@ grams AS (
 tw AS (SELECT template, license,
               list_filter(string_split_regex({_NORM.format("body")}, '[ \\n]+'), lambda w: w <> '') AS w FROM templates),
 tg AS (SELECT template, license, len(w) - 1 AS n, g, count(*) AS c
-       FROM (SELECT *, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM tw) GROUP BY ALL)
-SELECT doc_id, unit, place::INT AS place, license, max(dice) AS dice FROM (
-  SELECT a.row, a.doc_id, a.unit, a.place, b.license, 2 * sum(least(a.c, b.c)) / (a.n + b.n)::DOUBLE AS dice
-  FROM grams a JOIN tg b ON a.g = b.g GROUP BY a.row, a.doc_id, a.unit, a.place, b.template, b.license, a.n, b.n) AS pairs
-WHERE dice >= {licenses.THRESHOLD}
-GROUP BY row, doc_id, unit, place, license"""
+       FROM (SELECT *, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM tw) GROUP BY ALL),
+found AS MATERIALIZED (
+  SELECT row, doc_id, unit, place::INT AS place, license, max(dice) AS dice FROM (
+    SELECT a.row, a.doc_id, a.unit, a.place, b.license, 2 * sum(least(a.c, b.c)) / (a.n + b.n)::DOUBLE AS dice
+    FROM grams a JOIN tg b ON a.g = b.g GROUP BY a.row, a.doc_id, a.unit, a.place, b.template, b.license, a.n, b.n) AS pairs
+  WHERE dice >= {licenses.THRESHOLD} GROUP BY row, doc_id, unit, place, license),
+-- windows: every place of a template's bigram begins one, as long as the template
+flat AS (SELECT row, doc_id, list_filter(string_split_regex(norm, '[ \\n]+'), lambda w: w <> '') AS w FROM docs),
+hits AS MATERIALIZED (
+  SELECT row, doc_id, last, pos, b.template, b.license, b.n AS n_t, b.g, b.c AS c_t
+  FROM (SELECT row, doc_id, len(w) - 1 AS last, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS g FROM flat, range(1, len(w)) r(i)) a
+  JOIN tg b ON a.g = b.g),
+scored AS MATERIALIZED (
+  SELECT row, doc_id, license, p, max(dice) AS dice FROM (
+    SELECT row, doc_id, license, p, 2 * sum(least(c, c_t)) / (n_t + least(n_t, last - p))::DOUBLE AS dice FROM (
+      SELECT s.row, s.doc_id, s.license, s.template, s.n_t, s.last, s.pos AS p, h.g, h.c_t, count(*) AS c
+      FROM hits s JOIN hits h ON h.row = s.row AND h.template = s.template AND h.pos >= s.pos AND h.pos < s.pos + s.n_t
+      GROUP BY ALL) x GROUP BY row, doc_id, license, template, n_t, last, p) y
+  WHERE dice >= {licenses.THRESHOLD} GROUP BY row, doc_id, license, p)
+SELECT doc_id, unit, place, license, dice FROM found
+UNION ALL
+SELECT doc_id, 'window', p::INT, license, dice FROM scored s
+WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.row = s.row AND f.license = s.license)
+  AND NOT EXISTS (SELECT 1 FROM scored o WHERE o.row = s.row AND o.license = s.license
+    AND abs(o.p - s.p) <= (SELECT max(n) FROM tg) AND (o.dice > s.dice OR (o.dice = s.dice AND o.p < s.p)))"""
 
 _OP7 = """
 WITH crc AS (  -- the table of CRC-32: eight shifts of each byte
