@@ -23,6 +23,7 @@ from tidemark.llm.common import components
 from tidemark.llm.simhash import _join
 from tidemark.sinks.tables import materialize
 
+TILE_BYTES = 4 << 20  # of a tile's vectors in double precision
 SLACK = 1e-5  # float32 rounding of scaled code products (the products themselves are exact integers)
 
 
@@ -76,7 +77,7 @@ def tile_links(x: np.ndarray, y: np.ndarray, threshold: float, same: bool,
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vector: str = "embedding", threshold: float = 0.9,
-                    tile_rows: int = 2048) -> DataFrame:
+                    tile_rows: int | None = None) -> DataFrame:
     """Links by cosine: ``(vec_id, n_links, component_id, kept)``, one row per input row.
 
     Cosines are taken in double precision; a pair links if its cosine is at
@@ -90,7 +91,8 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vector: str = "emb
     component, or null, and is not kept. Repeated rows stay and count each
     other. Other columns are ignored. Empty table: no rows. All tiles of one
     vector length meet, as an exact all-pairs search needs; each task holds two
-    tiles of ``tile_rows`` vectors on average.
+    tiles of ``tile_rows`` vectors on average (default: as many as take
+    ``TILE_BYTES``). A vector travels once for each tile, so larger tiles move less.
     """
     rows = df.select(F.col(id_col).alias("vec_id"), F.col(vector).cast("array<double>").alias("vec"))
     fine = ("size(vec) > 0 and forall(vec, v -> v is not null and not isnan(v) and abs(v) < double('infinity'))"
@@ -101,8 +103,9 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vector: str = "emb
     nodes = materialize(rows.where("fine").groupBy("vec").agg(F.count("*").alias("copies"), F.min("vec_id").alias("low"))
                         .withColumn("node", F.monotonically_increasing_id()), "embeddings")
     sizes = nodes.groupBy(F.size("vec").alias("dim")).count()
+    own = F.lit(tile_rows) if tile_rows else F.greatest(F.lit(1), F.floor(F.lit(TILE_BYTES) / (8 * F.col("dim"))))
     tiles = (nodes.join(sizes, F.size("vec") == F.col("dim"))
-             .withColumn("tiles", F.ceil(F.col("count") / tile_rows).cast("int"))
+             .withColumn("tiles", F.ceil(F.col("count") / own).cast("int"))
              .withColumn("tile", F.expr("cast(pmod(xxhash64(node), tiles) as int)")))
 
     def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
