@@ -11,8 +11,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import (common, decontaminate, embeddings, licenses, mixing, sharding, simhash, substrings, tokens,
-                          toxicity, urls)
+from tidemark.llm import (common, decontaminate, embeddings, licenses, mixing, queries, sharding, simhash, substrings,
+                          tokens, toxicity, urls)
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -143,7 +143,7 @@ def test_decontamination_finds_copies_and_paraphrases(spark):
     df = docs(spark, texts, extra=["row", "cosine"])
     got = decontaminate.contaminated(df, bench)
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want
-    parts = decontaminate.contaminated(df, bench, block_items=7)
+    parts = decontaminate.contaminated(df, bench, block_passages=7)
     assert {(r.doc_id, r.item_id) for r in parts.collect()} == want
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0
     assert decontaminate.contaminated(docs(spark, []), bench).count() == 0
@@ -164,15 +164,78 @@ def test_decontamination_finds_paraphrases_of_one_sentence(spark):
     assert all(0.5 <= r.lcs < 0.8 for r in got)
 
 
-def test_decontamination_with_more_passages_than_rank(spark, monkeypatch):
+def test_decontamination_with_more_passages_than_a_block(spark, monkeypatch):
     rng = random.Random(12)
     items = [(k, prose(rng, rng.randint(15, 59))) for k in range(290)] + [(k, prose(rng, 150)) for k in range(290, 300)]
     texts = [prose(rng, 100) + " " + t + " " + prose(rng, 100) for _, t in items[::7]]
-    sizes, block = [], decontaminate._block
-    monkeypatch.setattr(decontaminate, "_block", lambda c, q, *a: sizes.append(q.count()) or block(c, q, *a))
+    texts += [prose(rng, rng.randint(5, 300)) for _ in range(200)]
+    sizes, block, scans, search = [], decontaminate._block, [], decontaminate._search
+    monkeypatch.setattr(decontaminate, "_block", lambda c, q, *a: sizes.append(len(q)) or block(c, q, *a))
+    monkeypatch.setattr(decontaminate, "_search", lambda *a: scans.append(1) or search(*a))
     got = decontaminate.contaminated(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string"))
-    assert {(r.doc_id, r.item_id) for r in got.collect()} >= {(i, 7 * i) for i in range(len(texts))}
-    assert sum(sizes) == 290 + 10 * 3 and max(sizes) <= 256  # the default rank
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, 7 * i) for i in range(len(items[::7]))}  # no clean one
+    assert sum(sizes) == 290 + 10 * 3 and len(sizes) == 2 and max(sizes) <= 256 and len(scans) == 1
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            row[j + 1], last = (last + 1 if x == y else max(row[j], row[j + 1])), row[j + 1]
+    return row[-1]
+
+
+def test_decontamination_against_all_pairs(spark):
+    """Recall and precision against a longest common subsequence of every passage with every region."""
+    rng = random.Random(21)
+    words = [prose(rng, 1) for _ in range(400)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(k, text(rng.randint(8, 130))) for k in range(40)]
+    texts = []
+    for k, t in items:
+        ws = t.split()
+        for every in (0, 3, 4, 6):  # copied, or every so many words replaced
+            body = " ".join(w if not every or j % every else rng.choice(words) for j, w in enumerate(ws))
+            texts.append(text(rng.randint(0, 90)) + " " + body + " " + text(rng.randint(0, 90)))
+    texts += [text(rng.randint(1, 300)) for _ in range(60)]
+    seen = Counter(w for t in texts for w in set(decontaminate.words_of(t)))
+    weigh = lambda w: np.log((len(texts) + 1) / (seen[w] + 1)) + 1e-3
+    want = set()
+    for d, t in enumerate(texts):
+        ws = decontaminate.words_of(t)
+        for k, it in items:
+            own = decontaminate.words_of(it)
+            parts = -(-len(own) // 64)
+            for p in range(parts):
+                piece = own[p * len(own) // parts:(p + 1) * len(own) // parts]
+                answer = decontaminate.telling_words((decontaminate.answer_of(it) if p == parts - 1 else piece)[-len(piece):], len(piece))
+                for begin in range(0, len(ws), 32):
+                    region = ws[max(0, begin - 32):begin + 96]
+                    share = longest_common(piece, region) / len(piece)
+                    rare = decontaminate.rare_words(piece, [weigh(w) for w in piece])
+                    if share >= 0.8 or share >= 0.5 and longest_common(rare, region) >= 0.4 * len(rare) and \
+                            longest_common(answer, region) >= -(-len(answer) // 3):
+                        want.add((d, k))
+    df, bench = docs(spark, texts).repartition(4), spark.createDataFrame(items, "item_id long, text string")
+    exact = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench, cosine=-1.0).collect()}
+    assert exact == want and {(4 * i + j, i) for i in range(40) for j in range(4)} <= {*want} | {(4 * i + 1, i) for i in range(40)}
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()}
+    assert got <= want and len(got) >= 0.95 * len(want)
+
+
+def test_decontamination_of_short_items_any_passage_and_scripts_without_spaces(spark):
+    rng = random.Random(22)
+    long_item = prose(rng, 150)
+    first = long_item.split()[:50]
+    items = [(1, "Paris is the capital"), (2, "yes"), (3, long_item), (4, "東京は日本の首都であり、世界最大の都市圏の一つである。"), (5, "two words"), (None, "three odd words")]
+    texts = ["I know that PARIS is, the capital! of France", "paris is a capital", "yes", "yes it is", "Yes.", "two  words",
+             prose(rng, 80) + " " + " ".join(w if j % 4 else "zzz" for j, w in enumerate(first)) + " " + prose(rng, 80),
+             "昔々。東京は日本の首都であり、世界最大の都市圏の一つである。おわり", "京都は日本の古い都である。", None, "", "three odd words here"]
+    ids = [*range(11), None]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(
+        docs(spark, texts, ids=ids), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(0, 1), (2, 2), (4, 2), (5, 5), (6, 3), (7, 4), (None, None)}
 
 
 def test_common_subsequence_by_dynamic_programme():
@@ -280,6 +343,7 @@ def test_shards_against_prefix_sums(spark, n):
     rng = random.Random(8)
     rows = [(None if k % 50 == 0 else rng.randrange(80), rng.choice([0, 1, 5, 400])) for k in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, b long").withColumns({"Shard": F.lit(1), "slot": F.lit(2)})
+    df = df.withColumns({h: F.lit("x") for h in sharding.HELPERS})
     got = sharding.byte_shards(df, n, order_by=["doc_id", "b"], size=F.col("b"), partitions=5).collect()
     total, done, want = sum(b for _, b in rows), 0, Counter()
     for i, b in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
@@ -292,6 +356,13 @@ def test_shards_against_prefix_sums(spark, n):
     assert empty.count() == 0
 
 
+def test_shards_of_texts(spark):
+    df = docs(spark, [*ODD, "y" * 3_000_000, "é" * 10], ids=[None, 3, 3, *range(4, 13)], extra=["size", "__first"])
+    got = sharding.byte_shards(df, 4, order_by=["doc_id"], size=sharding.text_size(F.col("text"))).collect()
+    assert Counter(r.text for r in got) == Counter([*ODD, "y" * 3_000_000, "é" * 10])
+    assert all(r.size == len((r.text or "").encode()) + 1 for r in got)
+
+
 # ---------------------------------------------------------------- 8 embeddings
 def test_embedding_links_against_brute_force(spark):
     rng = np.random.default_rng(9)
@@ -376,15 +447,62 @@ def test_simhash_documents(spark):
 
 
 # ---------------------------------------------------------------- 10 licences
+def dice_of(a, b):
+    return 2 * sum((Counter(a) & Counter(b)).values()) / (len(a) + len(b))
+
+
+def words_of_licence(t):
+    return re.sub("[^a-z0-9à-ÿ]+", " ", t.lower()).split()
+
+
 def test_licences(spark):
     body = dict(licenses.TEMPLATES)["BSD-3-Clause"]
+    inline = "Copyright 2020 Foo Inc. Released under the MIT License. All rights reserved."
     texts = ODD + ["Foo bar.\nLicensed under the Apache License, Version 2.0.\nmore text", "RELEASED   under the MIT license!",
                    "Licensed under the apache pear License, Version 3.1", "x\n\n" + "\n".join(body.split(". ")) + "\n\ny",
-                   "licensed under cc by nc 4 0 " * 50]
-    df = docs(spark, texts, extra=["license", "unit"])
+                   "licensed under cc by nc 4 0 " * 50, inline, "word " * 300 + inline + " word" * 4000]
+    ids = [*range(len(texts) - 1), None]
+    df = docs(spark, texts, ids=ids, extra=["license", "unit", "dice"])
     for limit in (10**6, 0):
         got = licenses.scan(df, licenses.templates_frame(spark), index_limit=limit).collect()
-        assert {(r.doc_id, r.unit, r.place, r.license) for r in got} >= {(10, "line", 1, "Apache-2.0"), (11, "line", 0, "MIT")}
-        assert not {12, 14} & {r.doc_id for r in got} and all(0.8 <= r.dice <= 1 for r in got)
+        found = {(r.doc_id, r.unit, r.place, r.license) for r in got}
+        assert found >= {(10, "line", 1, "Apache-2.0"), (11, "line", 0, "MIT"), (15, "window", 4, "MIT"), (None, "window", 304, "MIT")}
+        assert {x[3] for x in found if x[0] == 15} == {"MIT"} and "BSD-3-Clause" in {x[3] for x in found if x[0] == 13}
+        assert 12 not in {r.doc_id for r in got} and all(0.8 <= r.dice <= 1 for r in got)
     assert licenses.scan(docs(spark, []), licenses.templates_frame(spark)).count() == 0
     assert licenses.scan(df, licenses.templates_frame(spark).limit(0)).count() == 0
+
+
+def test_licence_windows_against_all_windows(spark):
+    """Every window of a template's length, whether it begins with one of its bigrams or not."""
+    rng = random.Random(31)
+    filler = ["the", "software", "under", "license", "version", "is", "and", "any", *[prose(rng, 1) for _ in range(40)]]
+    texts = []
+    for name, body in licenses.TEMPLATES:
+        ws = body.split()
+        for drop in (0, 12, 7):
+            own = [w for i, w in enumerate(ws) if not drop or i % drop != 3]
+            texts.append(" ".join(rng.choices(filler, k=rng.randint(0, 60)) + own + rng.choices(filler, k=rng.randint(0, 60))))
+    texts += [" ".join(rng.choices(filler, k=300)) for _ in range(20)]
+    got = {}
+    for r in licenses.scan(docs(spark, texts).repartition(3), licenses.templates_frame(spark)).collect():
+        got[r.doc_id, r.license] = max(got.get((r.doc_id, r.license), 0), r.dice)
+    grams = lambda ws: list(zip(ws, ws[1:]))
+    templates = [(n, grams(words_of_licence(b))) for n, b in licenses.TEMPLATES]
+    want = {}
+    for d, t in enumerate(texts):
+        own = grams(words_of_licence(t))
+        for name, tg in templates:
+            best = max((dice_of(own[p:p + len(tg)], tg) for p in range(max(1, len(own)))), default=0)
+            whole = dice_of(own, tg) if own else 0
+            if max(best, whole) >= 0.8:
+                want[d, name] = max(want.get((d, name), 0), best, whole)
+    assert got.keys() == want.keys(), (got.keys() ^ want.keys(), [want.get(k, got.get(k)) for k in got.keys() ^ want.keys()])
+    assert all(abs(got[k] - want[k]) < 0.2 for k in want)  # a whole line is not cut to a better window
+
+
+def test_urls_very_long_and_null(spark):
+    rows = [(1, "http://a.com/" + "x/" * 200_000), (None, "http://example.com/en/"), (3, None), (4, "http://" + "a." * 100_000 + "net/es/")]
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, action string")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert got == {1: "allow", None: "block", 3: "allow", 4: "block"}

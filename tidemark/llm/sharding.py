@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import without
 from tidemark.sinks.tables import materialize
 
+HELPERS = ["__tie", "__at", "__size", "__part", "__place", "__row0", "__cuts", "__first"]
 ROW_BITS = 33  # monotonically_increasing_id: partition above, place in the partition below
 
 
@@ -36,8 +37,8 @@ def byte_shards(df: DataFrame, n_shards: int, *, order_by: list[str], size: Colu
     shard, in that order. ``partitions`` (default: the session's shuffle
     partitions) is the number of range partitions.
 
-    Empty table: no rows. Input columns named like the three added ones are
-    replaced. ``size`` must not be null or negative; sizes of zero are allowed
+    Empty table: no rows. Input columns named like the three added ones, or
+    like a name of ``HELPERS``, are replaced or dropped. ``size`` must not be null or negative; sizes of zero are allowed
     as long as the total is not zero (else all rows go to shard 0).
     """
     if n_shards < 1:
@@ -45,7 +46,8 @@ def byte_shards(df: DataFrame, n_shards: int, *, order_by: list[str], size: Colu
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_first() for c in order_by] + [F.col("__tie").asc()]
-    sized = without(df.withColumn("__size", size), ["size", "shard", "slot", "__tie", "__at"])
+    clear = [h for h in HELPERS if h != "__size"]
+    sized = without(without(df, ["__size"]).withColumn("__size", size), ["size", "shard", "slot", *clear])
     table = materialize(
         sized.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys).drop("__tie").withColumn("__at", F.monotonically_increasing_id()), "sharding")
