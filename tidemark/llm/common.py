@@ -20,12 +20,13 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def running_totals(df: DataFrame, value: str, out: str) -> DataFrame:
-    """``df``, written once, with ``out``: the sum of ``value`` over the rows before, in the order written.
+    """``df``, dealt evenly and written once, with ``out``: the sum of ``value`` over the rows before, in the order written.
 
     Totals per partition, one row each, give every partition its offset; rows
     are only summed within their partition. Columns ``__at`` and ``__part`` must not be in ``df``.
     """
-    table = materialize(df.withColumn("__at", F.monotonically_increasing_id()), "totals").withColumn(
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = materialize(df.repartition(parts).withColumn("__at", F.monotonically_increasing_id()), "totals").withColumn(
         "__part", F.shiftright("__at", 33))  # the partition is above the place of a row in it
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     heads = (table.groupBy("__part").agg(F.sum(value).alias("__sum"))
