@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -181,8 +183,9 @@ SELECT 'merge', p, b, a, b - m + p, a = b - m + p FROM (
 def q_row_count_reconcile(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     src, tgt = fx.load_source, fx.load_target
-    after = [_read_back(df, "reconcile") for df in (  # what is counted is what was written
-        loading.overwrite(src, tgt.schema), loading.replace_where(tgt, src, REPLACE_WHERE), loading.merge_pk(tgt, src, MERGE_KEY))]
+    loads = [loading.overwrite(src, tgt.schema), loading.replace_where(tgt, src, REPLACE_WHERE), loading.merge_pk(tgt, src, MERGE_KEY)]
+    with ThreadPoolExecutor(len(loads)) as pool:  # three loads at a time; what is counted is what was written
+        after = list(pool.map(lambda df: _read_back(df, "reconcile"), loads))
     over = count_reconcile("overwrite", src, tgt, after[0])
     rw = count_reconcile("replace_where", src.where(F.expr(REPLACE_WHERE)), tgt, after[1], where=REPLACE_WHERE)
     mg = count_reconcile("merge", src, tgt, after[2], primary_key=MERGE_KEY)
