@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 from tidemark.operators import feed as feedops
 from tidemark.operators import loading, marks, ranking
 from tidemark.operators.differences import find_differences
-from tidemark.plans import flows
+from tidemark.plans import flows, registry
 from tidemark.plans.fixtures import Fixtures
 from tidemark.schemas import ATTRS, FEED
 from tidemark.sinks import tables
@@ -153,6 +153,15 @@ def test_splits_take_every_row_once(spark, kind):
         assert max(r.rows for r in counts) <= 1.1 * len(values) / 8 + 8
 
 
+def test_read_splits_of_large_and_null_keys(spark, tmp_path):
+    keys = [None, -9_000_000, 9_000_000_000, 2 ** 63 - 1, *range(9_000_000, 9_003_000)]  # their cubes are no bigints
+    lines = spark.createDataFrame([(k, dt.datetime(2024, 1, 1) + dt.timedelta(i % 700)) for i, k in enumerate(keys)],
+                                  "l_orderkey long, l_shipdate timestamp_ntz")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = sorted(tuple(r) for r in registry.queries()["read_splits"](spark, str(tmp_path)).collect())
+    assert got == [(kind, len(keys), len(keys), True) for kind in ("heavy", "shipdate", "skewed")]
+
+
 def test_splits_of_text_are_refused(spark):
     with pytest.raises(ValueError):
         read_splits(spark.createDataFrame([("a",)], "c string"), "c", 4)
