@@ -138,6 +138,18 @@ def test_sized_export(spark):
     assert n == 0 and spark.read.parquet(path).count() == 0
 
 
+def test_sized_export_query_has_more_files_of_a_larger_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "STAGE_OBJECT_BYTES", 200_000)  # a large table has many objects' bytes
+    made, export = [], tables.export_sized
+    monkeypatch.setattr(tables, "export_sized", lambda df, *a, **k: made.append(export(df, *a, **k)) or made[-1])
+    orders = spark.range(4000).select(F.col("id").alias("o_orderkey"), F.sha2(F.col("id").cast("string"), 256).alias("o_comment"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    got = sorted(tuple(r) for r in registry.queries()["stage_export_sized"](spark, str(tmp_path)).collect())
+    assert got == [("narrow", 4000, True), ("wide", 4000, True)]
+    sizes = [tables.folder_bytes(spark, path) for path, _, _ in made]
+    assert len(sizes[1]) == 6 and len(sizes[3]) > 6 and max(sizes[3]) < 300_000
+
+
 @pytest.mark.parametrize("kind", ["cubes", "heavy", "nulls", "days", "one", "empty"])
 def test_splits_take_every_row_once(spark, kind):
     rng = random.Random(7)

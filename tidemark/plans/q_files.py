@@ -103,6 +103,9 @@ def q_load_rejects(spark, sf_dir):
     return spark.read.parquet(res.path).unionByName(res.rejects.select("reject_reason"), allowMissingColumns=True)
 
 
+LEAST_FILES = 6
+
+
 @register("stage_export_sized", """
 SELECT 'narrow' AS kind, count(*) AS records, true AS sized FROM orders
 UNION ALL SELECT 'wide', count(*), true FROM orders""")
@@ -112,13 +115,14 @@ def q_stage_export_sized(spark, sf_dir):
     wide = orders.select("*", *[F.sha2(F.concat(F.col("o_orderkey").cast("string"), F.lit(f":{i}")), 256).alias(f"w{i}") for i in range(8)])
     out = None
     for kind, df in (("narrow", orders), ("wide", wide)):
-        # a few files at any scale: the target follows from the table here, as 16 MB would be one file of a small one
+        # a few files of a small table, which 16 MB would make one of; never more than that, as a file is one task's
         _, rows, width = tables.export_sized(df)
-        target = max(1, int(rows * width / 6))
-        path, rows, _ = tables.export_sized(df, target_bytes=target)
+        target = max(1, min(tables.STAGE_OBJECT_BYTES, int(rows * width / LEAST_FILES)))
+        path, rows, width = tables.export_sized(df, target_bytes=target)
+        wanted = max(LEAST_FILES, round(rows * width / target))
         sizes = tables.folder_bytes(spark, path)
-        # small files have their own dictionaries and footers, so they are a little over a sixth
-        sized = len(sizes) == 6 and max(sizes) < 2 * target and max(sizes) < 1.25 * min(sizes)
+        # small files have their own dictionaries and footers, so they are a little over their share
+        sized = len(sizes) == wanted and max(sizes) < 2 * target and max(sizes) < 1.25 * min(sizes)
         part = tables.stage_file_counts(spark, path).agg(F.lit(kind).alias("kind"), F.sum("records").alias("records"),
                                                          F.lit(sized and rows > 0).alias("sized"))
         out = part if out is None else out.unionByName(part)

@@ -319,12 +319,13 @@ def export_sized(df: DataFrame, path: str | None = None, *, target_bytes: int =
                  probe_rows: int = 50_000) -> tuple[str, int, float]:
     """Export to snappy Parquet files near a size in bytes; returns (path, rows, bytes a row).
 
-    Bytes a row are measured (``measured_row_bytes``). The rows are then dealt
+    Bytes a row are measured (``measured_row_bytes``) on dealt rows, as rows in the input's order may
+    compress far better than the files' rows. The rows are then dealt
     evenly to as many files as the target asks for, so no file depends on how
     the input happened to be split. The rows written come from an ``Observation``.
     """
     path = path or work_path(df.sparkSession, "stage")
-    width, rows = measured_row_bytes(df, probe_rows)
+    width, rows = measured_row_bytes(df.limit(probe_rows).repartition(2), probe_rows)
     total = rows if rows < probe_rows else df.count()
     files = max(1, round(total * width / target_bytes))
     obs = Observation("tm_export_sized")
