@@ -238,6 +238,30 @@ def test_decontamination_of_short_items_any_passage_and_scripts_without_spaces(s
     assert got == {(0, 1), (2, 2), (4, 2), (5, 5), (6, 3), (7, 4), (None, None)}
 
 
+@pytest.mark.parametrize("window", [8, 9, 2, 3])
+def test_no_common_subsequence_is_longer_than_the_words_a_region_holds(window):
+    rng = random.Random(window)
+    half = window // 2
+    span = -(-(window + 2 * half) // half)
+    items = [[b"%d" % rng.randrange(12) for _ in range(rng.randint(5, 9))] for _ in range(6)]
+    number = {w: i for i, w in enumerate(sorted({w for ws in items for w in ws}))}
+    holds = np.array([[ws.count(w) for ws in items] for w in number], np.uint8)
+    less = 0
+    for n in (1, 7, 60, 200):
+        text = [b"%d" % rng.randrange(30) for _ in range(n)]
+        where = np.array([i for i, w in enumerate(text) if w in number], np.int64)
+        at, folds = np.array([number[text[i]] for i in where], np.int64), -(-n // half)
+        for first, last in ((0, folds), (folds // 2, folds), (0, 1)):
+            most = decontaminate.most_common(holds, at, where // half, first, last, span)
+            for k, j in itertools.product(range(first, last), range(len(items))):
+                region = text[max(0, (k - 1) * half):k * half + window + half]
+                common = decontaminate.common_words(decontaminate.places_of(items[j]), len(items[j]), region)
+                around = set(text[max(0, (k - 1) * half):(k - 1 + span) * half])
+                assert common <= most[k - first, j] == sum(w in around for w in items[j])
+                less += most[k - first, j] < 0.5 * len(items[j])
+    assert less > 100  # passages that need no subsequence
+
+
 def test_common_subsequence_by_dynamic_programme():
     rng = random.Random(4)
     for _ in range(50):

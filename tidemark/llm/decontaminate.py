@@ -26,6 +26,7 @@ ROW_BITS = 33  # monotonically_increasing_id: partition above, place in the part
 LEAST_WORDS = 5  # items of fewer words are matched as exact runs of words
 ANSWER_WORDS, ANSWER_SHARE = 8, 4  # an answer is checked by at most so many words, and one in so many of the passage's
 ANSWER_LEAST = 3  # one in so many of them must be there, rounded up
+REGIONS = 512  # of a text, whose words are compared with the passages' words in one product
 RARE_LEAST = 0.4  # of a paraphrased passage's rarer words; those it replaced are all among them
 LETTERS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))  # other ASCII becomes a space
 HIGH = re.compile(b"[\xe0-\xff]")  # first bytes of characters from U+0800 on
@@ -88,6 +89,23 @@ def common_words(item: dict[bytes, int], n: int, region: list[bytes]) -> int:
     return n - v.bit_count()
 
 
+def most_common(holds: np.ndarray, at: np.ndarray, part: np.ndarray, first: int, last: int, span: int) -> np.ndarray:
+    """For regions ``first`` to ``last`` (excluded) and every passage, the passage's words that the region holds in any order.
+
+    No common subsequence is longer. A region is ``span`` parts of a text, from the part before the one of its own
+    number on; ``at`` are the rows in ``holds`` of the text's words that have one, ``part`` their parts, ascending,
+    and ``holds`` has each word's count in each passage.
+    """
+    begin, end = np.searchsorted(part, (first - 1, last + span - 2))
+    used, place = np.unique(at[begin:end], return_inverse=True)
+    held = np.zeros((last - first + span - 1, len(used)), np.float32)
+    held[part[begin:end] - (first - 1), place] = 1
+    region = held[:last - first].copy()
+    for k in range(1, span):
+        np.maximum(region, held[k:k + last - first], out=region)
+    return region @ holds[used].astype(np.float32)
+
+
 def _passages(items: DataFrame, window: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,8 +236,9 @@ class Runs:
 
 
 # A latent space over some passages, as plain values that travel in a broadcast: the row of each word (-1: none),
-# the space, the folded passages, and for each its item and the places and number of its words, its rare words and its answer.
-Block = tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple]]
+# the space, the folded passages, for each its item and the places and number of its words, its rare words and its answer,
+# how often each passage holds each word, and the passages' numbers of words.
+Block = tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple], np.ndarray, np.ndarray]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text: str = "text",
@@ -307,7 +326,11 @@ def _block(spark, passages: list, number: dict[bytes, int], idf: np.ndarray, ran
         answer = telling_words([bytes(w) for w in p["answer"]][-len(words):], len(words))
         rare = rare_words(words, [float(idf[number[w]]) for w in words])
         places.append((p["item_id"], *(x for ws in (words, rare, answer) for x in (places_of(ws), len(ws)))))
-    return local, space, np.ascontiguousarray(folded.T), places
+    lengths = np.array([len(ids) for ids in own])
+    holds = np.zeros((len(used), len(passages)), np.min_scalar_type(lengths.max()))
+    for j, ids in enumerate(own):
+        np.add.at(holds[:, j], local[ids], 1)
+    return local, space, np.ascontiguousarray(folded.T), places, holds, lengths
 
 
 def _search(corpus: DataFrame, number: dict[bytes, int], blocks: list[Block], short: list[tuple[int, list[bytes]]],
@@ -315,6 +338,7 @@ def _search(corpus: DataFrame, number: dict[bytes, int], blocks: list[Block], sh
     """One scan: every passage of every document against all passages of ``blocks``, and the short items."""
     shared = corpus.sparkSession.sparkContext.broadcast((number, blocks, short))
     half = window // 2
+    span = -(-(window + 2 * half) // half)  # halves that a candidate's region touches
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, own, given = shared.value
@@ -337,7 +361,7 @@ def _search(corpus: DataFrame, number: dict[bytes, int], blocks: list[Block], sh
                     ["row", "doc_id", "item_id", "cosine", "lcs"])
 
     def candidates(block: Block, words: list[bytes], ids: np.ndarray, known: np.ndarray) -> list[tuple]:
-        local, space, folded, places = block
+        local, space, folded, places, holds, lengths = block
         at = local[ids]
         inside = at >= 0
         at, where = at[inside], known[inside]
@@ -352,7 +376,11 @@ def _search(corpus: DataFrame, number: dict[bytes, int], blocks: list[Block], sh
         best: dict[int, tuple[float, float]] = {}
         for lo in range(0, len(folds), 4096):  # bounds the products of a very long text
             cos = folds[lo:lo + 4096] @ folded
-            for k, j in zip(*np.nonzero(cos >= least)):
+            near = cos >= least
+            for k in range(0, len(cos), REGIONS):  # only passages of which a region holds enough words need the subsequence
+                stop = min(k + REGIONS, len(cos))
+                near[k:stop] &= most_common(holds, at, part, lo + k, lo + stop, span) / lengths >= paraphrased
+            for k, j in zip(*np.nonzero(near)):
                 _, bits, n, rare, n_rare, answer, m = places[j]
                 begin = (lo + int(k)) * half
                 region = words[max(0, begin - half):begin + window + half]
