@@ -113,3 +113,21 @@ def test_very_long_texts(spark):
     df = docs(spark, [" " * 2_000_000, "a" * 300_000, "é\n" * 200_000])
     got = alignment.link_scores(alignment.align(df, bpe_vocabulary=BPE, piece_vocabulary=PIECES)).collect()
     assert all(r.n_a > 0 and r.n_links == r.n_a + r.n_b - r.n_groups for r in got)
+
+
+def test_dictionaries_are_arrays_over_the_places_of_a_text():
+    with open(BPE, "rb") as f, open(PIECES, "rb") as g:
+        aligner = alignment.Aligner(f.read(), g.read())
+    texts = [t for t in ODD if t] + ["naïve  日本語 <0x41> 👩‍👩‍👧", prose(random.Random(31), 500)]
+    for text, found in zip(texts, aligner.tokens(texts)):
+        if found is None:
+            continue
+        at_a, at_b, last_a, last_b = aligner.shared(*found)
+        ends = []
+        for side, ids, at in zip((aligner.a, aligner.b), found, (at_a, at_b)):
+            assert len(at) == len((" " + text).encode()) + 1
+            want = {end: i for i, (_, end) in enumerate(spans([side.bytes[x] for x in ids]))}
+            assert {end: i for end, i in enumerate(at.tolist()) if i >= 0} == want
+            ends.append(want)
+        common = sorted(ends[0].keys() & ends[1].keys())
+        assert last_a.tolist() == [ends[0][e] for e in common] and last_b.tolist() == [ends[1][e] for e in common]

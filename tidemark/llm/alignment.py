@@ -4,6 +4,7 @@ Both tokenizers cut the same bytes, so the cumulative byte ends of their tokens
 can be compared. Ends go into dictionaries from end to token index; the ends in
 both dictionaries, sorted, slice the two id lists into groups. Inside a group no
 other end is shared, and its links are the pairs of tokens whose bytes overlap.
+As ends are places in a text, a dictionary is an array with an entry per place.
 """
 
 from __future__ import annotations
@@ -64,21 +65,25 @@ class Aligner:
 
     def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """The ids of every text, or None where the tokens are not the bytes of a space and the text."""
-        for text, b in zip(texts, self.pieces.encode(texts, num_threads=1)):
+        for text, b in zip(texts, self.pieces.encode(texts, num_threads=1, out_type="numpy")):
             whole = " " + text
             raw, a = whole.encode("utf-8", "replace"), self.bpe.encode(whole)
-            same = self.bpe.joined(a.tolist()) == raw and self.b.joined(b) == raw
-            yield (a, np.array(b, np.int64)) if text and same else None
+            same = self.bpe.joined(a.tolist()) == raw and self.b.joined(b.tolist()) == raw
+            yield (a, b.astype(np.int64)) if text and same else None
 
     def shared(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Cumulative ends of both sides, and the last token of either side in each group."""
-        ends_a, ends_b = np.cumsum(self.a.width[a]), np.cumsum(self.b.width[b])
-        at_a = dict(zip(ends_a.tolist(), range(len(a))))
-        at_b = dict(zip(ends_b.tolist(), range(len(b))))
-        common = [end for end in at_a if end in at_b]  # in order, as ends only grow
-        last_a = np.array([at_a[end] for end in common], np.int64)
-        last_b = np.array([at_b[end] for end in common], np.int64)
-        return ends_a, ends_b, last_a, last_b
+        """The dictionaries from cumulative ends to token indexes (-1: no token ends there) of both sides, and the
+        last token of either side in each group."""
+        at_a, at_b = (self._places(side, ids) for side, ids in ((self.a, a), (self.b, b)))
+        common = np.flatnonzero((at_a >= 0) & (at_b >= 0))
+        return at_a, at_b, at_a[common].astype(np.int64), at_b[common].astype(np.int64)
+
+    @staticmethod
+    def _places(side: Tokens, ids: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(side.width[ids])
+        at = np.full(ends[-1] + 1, -1, np.int32)
+        at[ends] = np.arange(len(ids), dtype=np.int32)
+        return at
 
     def groups_text(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
         """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
@@ -92,8 +97,8 @@ class Aligner:
         out[np.arange(len(b)) + (last_a + 1)[np.repeat(group, size_b)]] = self.b.named(b, closing_b)
         return "".join(out.tolist())[:-1]
 
-    def links(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray,
-              ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def links(self, a: np.ndarray, b: np.ndarray, at_a: np.ndarray,
+              at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Linked id pairs, each once, and how many links each has.
 
         The ends of both sides cut a slice into stretches that lie in one token
@@ -101,10 +106,9 @@ class Aligner:
         link. All slices of a text are expanded together, as none reaches into
         another.
         """
-        cut_a, cut_b = np.zeros(ends_a[-1] + 1, np.int8), np.zeros(ends_a[-1] + 1, np.int8)
-        cut_a[ends_a] = cut_b[ends_b] = 1
-        ends = np.flatnonzero(cut_a | cut_b)
-        own_a, own_b = (np.cumsum(c, dtype=np.int32)[ends - 1] for c in (cut_a, cut_b))  # tokens that end before
+        in_a, in_b = at_a >= 0, at_b >= 0
+        ends = np.flatnonzero(in_a | in_b)
+        own_a, own_b = (np.cumsum(x) - x for x in (in_a[ends], in_b[ends]))  # tokens that end before
         pairs = a[own_a] * len(self.b.bytes) + b[own_b]
         pairs, n = np.unique(pairs, return_counts=True)
         return pairs // len(self.b.bytes), pairs % len(self.b.bytes), n
@@ -153,9 +157,9 @@ def align(df: DataFrame, *, bpe_vocabulary: str, piece_vocabulary: str, id_col:
                         links.append((np.zeros(0, np.int64),) * 3)
                         continue
                     a, b = found
-                    ends_a, ends_b, last_a, last_b = aligner.shared(a, b)
+                    at_a, at_b, last_a, last_b = aligner.shared(a, b)
                     rows.append((len(a), len(b), len(last_a), aligner.groups_text(a, b, last_a, last_b)))
-                    links.append(aligner.links(a, b, ends_a, ends_b))
+                    links.append(aligner.links(a, b, at_a, at_b))
                 n_a, n_b, n_groups, groups = zip(*rows)
                 leaves = [pa.array(np.concatenate(x), pa.int32()) for x in zip(*links)]
                 offsets = np.cumsum([0, *(len(x[0]) for x in links)])
