@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, mixing, queries, rows, sharding, simhash, toxicity
+from tidemark.llm.common import small_batches
 from tidemark.sinks.tables import discard, intermediates, materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,7 +27,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxicity by compression distance: documents scored 0.5 or more go."""
     model = queries.toxicity_model(spark, docs, sf_dir)
-    return toxicity.score(docs, model, out="__score").where("__score < 0.5").select(*COLUMNS)
+    keyed = _keyed(docs)
+    scored = toxicity.score(keyed.select(ROW, "text"), model, out="__score")
+    with small_batches(spark):
+        gone = materialize(scored.where("not coalesce(__score < 0.5, false)").select(ROW), "pipeline")
+    return rows.join_rows(keyed, gone, "left_anti").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,12 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.sinks.tables import materialize
 
+BATCH_BYTES = 2 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside hand rows to Python in Arrow batches of about ``BATCH_BYTES``, a larger row alone.
+
+    By default 10,000 rows make a batch, of up to 64 MB: for texts that is a whole
+    partition, which then lies in the JVM's buffers (twice), in the worker's and in
+    its lists at once, for every core. A smaller limit of the session's own stays. What a
+    DataFrame holds does not change; one that is run later has the session's limit.
+    """
+    before = spark.conf.get(BATCH_LIMIT)
+    own = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    if not 0 < own <= BATCH_BYTES:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_LIMIT, before)
+
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` less every column whose name equals one of ``names``, whatever its case.

@@ -20,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
 from tidemark.sinks.tables import materialize
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, place in the partition below
 LEAST_WORDS = 5  # items of fewer words are matched as exact runs of words
 ANSWER_WORDS, ANSWER_SHARE = 8, 4  # an answer is checked by at most so many words, and one in so many of the passage's
 ANSWER_LEAST = 3  # one in so many of them must be there, rounded up
+TERMS = 1024  # of a product's rows in a batch
 REGIONS = 512  # of a text, whose words are compared with the passages' words in one product
 RARE_LEAST = 0.4  # of a paraphrased passage's rarer words; those it replaced are all among them
 LETTERS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))  # other ASCII becomes a space
@@ -142,7 +144,8 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[np.ndarra
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([n, *seen.values()], pa.int64())],
                                          ["term", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    with small_batches(docs.sparkSession):
+        rows = docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     df, n = np.zeros(len(terms), np.int64), 0
     for r in rows:  # one row per benchmark term
         if r["term"] < 0:
@@ -172,10 +175,12 @@ def randomised_svd(rows: DataFrame, n_terms: int, rank: int, rounds: int = 2, se
                     y = np.asarray(vals) @ shared.value[ids]
                     for i, v in zip(ids, vals):
                         total[i] = total.get(i, 0.0) + v * y
-            if total:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(total), pa.int32()), pa.array([x.tolist() for x in total.values()], pa.list_(pa.float64()))],
-                    ["term", "v"])
+            terms, width = np.fromiter(total, np.int32, len(total)), block.shape[1]
+            for i in range(0, len(terms), TERMS):
+                sums = np.concatenate([total.pop(t) for t in terms[i:i + TERMS].tolist()])
+                ends = pa.array(np.arange(0, len(sums) + 1, width, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(terms[i:i + TERMS]), pa.ListArray.from_arrays(ends, pa.array(sums))],
+                                                 ["term", "v"])
 
         sums = [F.sum(F.col("v")[j]).alias(f"v{j}") for j in range(block.shape[1])]
         got = rows.mapInArrow(product, "term int, v array<double>").groupBy("term").agg(*sums).toArrow()
@@ -393,6 +398,7 @@ def _search(corpus: DataFrame, number: dict[bytes, int], blocks: list[Block], sh
         return [(places[j][0], c, s) for j, (c, s) in best.items()]
 
     # materialised: the groups behind it must not see another numbering of rows after a lost executor
-    return materialize(corpus.withColumn("row", F.monotonically_increasing_id())
-                       .mapInArrow(search, "row long, doc_id long, item_id long, cosine double, lcs double"),
-                       "decontaminate")
+    with small_batches(corpus.sparkSession):
+        return materialize(corpus.withColumn("row", F.monotonically_increasing_id())
+                           .mapInArrow(search, "row long, doc_id long, item_id long, cosine double, lcs double"),
+                           "decontaminate")

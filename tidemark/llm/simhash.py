@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components
+from tidemark.llm.common import components, small_batches
 from tidemark.sinks.tables import materialize
 
 POSITIONS = 8
@@ -202,8 +202,9 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text: str = "text"
     stay and get the same component. Other columns are ignored. Empty table: no
     rows.
     """
-    docs = materialize(fingerprints(df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), "text",
-                                    shingle).select("doc_id", "fp"), "simhash")
+    with small_batches(df.sparkSession):
+        docs = materialize(fingerprints(df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), "text",
+                                        shingle).select("doc_id", "fp"), "simhash")
     nodes = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash")
     linked = linked_fingerprints(nodes.select("fp"), distance, list_limit)
     rooted = nodes.join(linked, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))

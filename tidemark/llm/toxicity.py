@@ -132,7 +132,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 def fit(texts: list[str | None], labels: list[int], weights: list[float], folds: int = 2) -> dict:
     """Dictionaries and calibration from labelled texts; ``weights`` undo the class sampling."""
-    docs, y, weight = [windows(t) for t in texts], np.array(labels, float), np.array(weights, float)
+    one: dict[bytes, bytes] = {}  # a word that comes again is the same object
+    docs = [[one.setdefault(w, w) for w in windows(t)] for t in texts]
+    y, weight = np.array(labels, float), np.array(weights, float)
     fold = np.arange(len(docs)) % folds
     x = np.zeros((len(docs), 2 + 2 * len(THRESHOLDS)))
     for k in range(folds):
