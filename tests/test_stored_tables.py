@@ -3,10 +3,13 @@
 import datetime as dt
 import os
 import random
+import time
+import uuid
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tests.conftest import SF_SMALL
 from tidemark.operators import feed as feedops
@@ -150,6 +153,75 @@ def test_sized_export_query_has_more_files_of_a_larger_table(spark, tmp_path, mo
     assert len(sizes[1]) == 6 and len(sizes[3]) > 6 and max(sizes[3]) < 300_000
 
 
+def test_large_exports_are_dealt_in_parts(spark, tmp_path, monkeypatch):
+    work = str(tmp_path / "work")
+    monkeypatch.setattr(tables, "work_path", lambda spark, *parts: "/".join([work, *parts, uuid.uuid4().hex]))
+    keep = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def local_bytes():
+        return sum(os.path.getsize(f) for f in keep.getAllFiles().mkString("\n").split("\n") if os.path.isfile(f))
+
+    # wide rows lie together, some are null or repeated, and partitions are uneven
+    rows = spark.range(0, 60_000, numPartitions=3).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 50_000).alias("id"),
+        F.sha2(F.when(F.col("id") < 55_000, F.col("id")).cast("string"), 512).alias("h"),
+        F.when(F.col("id") < 12_000, F.sha2((-F.col("id")).cast("string"), 512)).alias("w")).where("id is null or id < 20000 or id > 25000")
+    want = Counter(map(tuple, rows.collect()))
+    dealt, deal = [], tables._deal
+
+    def seen(df, *a, **k):
+        n = deal(df, *a, **k)
+        dealt.append((n, sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(f"{work}/stage_parts") for f in names)))
+        return n
+
+    monkeypatch.setattr(tables, "_deal", seen)
+    before = local_bytes()
+    path, n, width = tables.export_sized(rows, target_bytes=40_000, probe_rows=60_000)
+    assert Counter(map(tuple, spark.read.parquet(path).collect())) == want and n == sum(want.values())
+    sizes = tables.folder_bytes(spark, path)
+    assert len(sizes) == round(n * width / 40_000) and max(sizes) < 1.25 * min(sizes)
+    assert len(dealt) == tables.EXPORT_PARTS and max(r for r, _ in dealt) < 1.1 * n / tables.EXPORT_PARTS
+    copies = [b for _, b in dealt]
+    assert copies == sorted(copies, reverse=True) and len(set(copies)) == tables.EXPORT_PARTS  # each part goes once it is written
+    assert os.listdir(f"{work}/stage_parts") == [] and os.path.exists(f"{path}/_SUCCESS")
+    for _ in range(100):  # shuffle files go in the background
+        if local_bytes() - before < sum(sizes) / 2:
+            break
+        time.sleep(0.1)
+    assert local_bytes() - before < sum(sizes) / 2
+    with pytest.raises(AnalysisException):
+        tables.export_sized(spark.read.parquet(path), path, target_bytes=40_000)
+    assert sum(tables.folder_bytes(spark, path)) == sum(sizes)
+    again = tables.export_sized(rows.where("id < 20000"), path, target_bytes=20_000)[1]
+    assert again == spark.read.parquet(path).count() == sum(c for r, c in want.items() if r[0] is not None and r[0] < 20_000)
+
+
+def test_a_failed_part_leaves_no_mark_of_a_finished_export(spark, tmp_path, monkeypatch):
+    deal, path = tables._deal, str(tmp_path / "out")
+
+    def fails(df, path, files, mode="overwrite", last=True):
+        if last:
+            raise RuntimeError("no disk")
+        return deal(df, path, files, mode, last)
+
+    monkeypatch.setattr(tables, "_deal", fails)
+    own = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    with pytest.raises(RuntimeError):
+        tables.export_sized(rows, path, target_bytes=20_000)
+    assert tables.folder_bytes(spark, path) and not os.path.exists(f"{path}/_SUCCESS")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == own
+
+
+def test_sized_export_query_keeps_one_export_of_a_kind(spark, tmp_path, monkeypatch):
+    made, export = [], tables.export_sized
+    monkeypatch.setattr(tables, "export_sized", lambda df, *a, **k: made.append(export(df, *a, **k)) or made[-1])
+    spark.range(500).select(F.col("id").alias("o_orderkey")).write.parquet(str(tmp_path / "orders.parquet"))
+    got = sorted(tuple(r) for r in registry.queries()["stage_export_sized"](spark, str(tmp_path)).collect())
+    assert [r[:2] for r in got] == [("narrow", 500), ("wide", 500)]
+    assert len(made) == 4 and len({path for path, _, _ in made}) == 2
+
+
 @pytest.mark.parametrize("kind", ["cubes", "heavy", "nulls", "days", "one", "empty"])
 def test_splits_take_every_row_once(spark, kind):
     rng = random.Random(7)

@@ -116,9 +116,9 @@ def q_stage_export_sized(spark, sf_dir):
     out = None
     for kind, df in (("narrow", orders), ("wide", wide)):
         # a few files of a small table, which 16 MB would make one of; never more than that, as a file is one task's
-        _, rows, width = tables.export_sized(df)
+        path, rows, width = tables.export_sized(df)
         target = max(1, min(tables.STAGE_OBJECT_BYTES, int(rows * width / LEAST_FILES)))
-        path, rows, width = tables.export_sized(df, target_bytes=target)
+        path, rows, width = tables.export_sized(df, path, target_bytes=target)  # in the place of the first, so the disk holds one
         wanted = max(LEAST_FILES, round(rows * width / target))
         sizes = tables.folder_bytes(spark, path)
         # small files have their own dictionaries and footers, so they are a little over their share

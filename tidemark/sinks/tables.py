@@ -7,10 +7,13 @@ job re-runs into a clean place and readers of the old version are not broken.
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import reduce
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,9 @@ from tidemark.session import work_path
 # Staged export format of the reference (snappy Parquet, 16 MB objects).
 STAGE_COMPRESSION = "snappy"
 STAGE_OBJECT_BYTES = 16 * 1024 * 1024
+# A large export is dealt in so many parts, of so many files at least; a task buffers so much of each while it parts rows.
+EXPORT_PARTS, PART_FILES = 8, 16
+PART_BUFFER_BYTES = 4 * 1024 * 1024
 
 
 def publish(df: DataFrame, path: str | None = None, *, partition_by: list[str] | None = None,
@@ -323,15 +329,75 @@ def export_sized(df: DataFrame, path: str | None = None, *, target_bytes: int =
     compress far better than the files' rows. The rows are then dealt
     evenly to as many files as the target asks for, so no file depends on how
     the input happened to be split. The rows written come from an ``Observation``.
+
+    Rows on their way to a file are on disk twice more, sorted and shuffled. So a large export is dealt in
+    parts, one after another, and beside its files the disk holds an eighth of that, and a packed copy of the
+    rows still to come.
     """
-    path = path or work_path(df.sparkSession, "stage")
+    spark = df.sparkSession
+    path = path or work_path(spark, "stage")
     width, rows = measured_row_bytes(df.limit(probe_rows).repartition(2), probe_rows)
     total = rows if rows < probe_rows else df.count()
     files = max(1, round(total * width / target_bytes))
+    parts = min(EXPORT_PARTS, files // PART_FILES)
+    if parts < 2:
+        return path, _deal(df, path, files), width
+    if _reads(df, path):  # Spark sees that where the rows are not written twice
+        raise AnalysisException(f"cannot overwrite {path}, which the exported rows are read from")
+    discard(spark, [path])  # an overwrite's first step, taken before the rows are copied
+    staged, column = work_path(spark, "stage_parts"), f"_tm_part_{uuid.uuid4().hex}"  # no column of any table
+    shares = Counter(place * parts // files for place in range(files))  # files of each part
+    written = 0
+    try:
+        _write_parts(df, staged, column, files, parts)
+        for part, share in sorted(shares.items()):
+            folder = f"{staged}/{column}={part}"
+            written += _deal(read_or_empty(spark, folder, df.schema), path, share, "append" if part else "overwrite",
+                             last=part == parts - 1)
+            discard(spark, [folder])
+    finally:
+        discard(spark, [staged])
+    return path, written, width
+
+
+def _deal(df: DataFrame, path: str, files: int, mode: str = "overwrite", last: bool = True) -> int:
+    """Write rows dealt evenly to ``files`` files, and the mark of a finished export if this is the last of it; returns the rows."""
     obs = Observation("tm_export_sized")
-    (df.repartition(files).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-       .option("compression", STAGE_COMPRESSION).parquet(path))
-    return path, int(obs.get["rows"]), width
+    unmarked = {} if last else {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+    # shuffle files go once the rows are written, else they stay until the driver collects garbage
+    with _settings(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        (df.repartition(files).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+           .option("compression", STAGE_COMPRESSION).options(**unmarked).parquet(path))
+    return int(obs.get["rows"])
+
+
+def _reads(df: DataFrame, path: str) -> bool:
+    """Whether files below ``path`` are read for ``df``."""
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()
+    return any(unquote(urlsplit(f).path).startswith(f"{folder}/") for f in df.inputFiles())
+
+
+def _write_parts(df: DataFrame, path: str, column: str, files: int, parts: int) -> None:
+    """Write rows once, where they are read, in folders ``column`` = 0 to ``parts`` - 1: of as many neighbours as there
+    are ``files``, each part takes its files' share. Tasks write all parts side by side, so they sort nothing."""
+    place = f"pmod(monotonically_increasing_id() + hash(spark_partition_id()), {files})"
+    with _settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(parts + 1)}):  # at that many they sort
+        (df.withColumn(column, F.expr(f"{place} * {parts} div {files}")).write.mode("overwrite").partitionBy(column)
+           .option("compression", "zstd").option("parquet.compression.codec.zstd.level", 1)
+           .option("parquet.block.size", PART_BUFFER_BYTES).option("parquet.enable.dictionary", "false").parquet(path))
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Writes inside run with these settings; the session's own come back after."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def write_split(flagged: DataFrame, reason: str, path: str | None = None) -> tuple[str, int, int]:
